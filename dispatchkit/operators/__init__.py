@@ -1,0 +1,2 @@
+"""DataFrame operators: each takes DataFrames (plus column names / parameters) and
+returns a lazily planned DataFrame. No actions, no collects, no Python UDFs."""

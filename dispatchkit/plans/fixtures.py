@@ -11,8 +11,6 @@ Identifiers are bigint here; -1 marks a planted orphan key.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.timestamps import add_seconds
@@ -135,10 +133,10 @@ def _terminal_columns(st: Column, h: Column, w: Column, failure_reason: str) ->
     ]
 
 
-def qc_fulfilment_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _fu_cols() -> list[Column]:
     h, w, k, s, st = F.col("h"), F.col("w"), F.col("k"), F.col("s"), F.col("st")
     canc = st == "CANCELLED"
-    return f0(spark, sf_dir).select(
+    return [
         F.col("fid").alias("fulfilment_unit_id"),
         F.when(h % 211 == 0, F.lit(-1).cast("long")).when(h % 199 == 0, k + 1).otherwise(k).alias("order_id"),
         _when_mod(h, 229, F.lit(-1).cast("long"), s).alias("store_id"),
@@ -150,7 +148,11 @@ def qc_fulfilment_units(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(~canc, _b(960 + w + h % 91)).alias("packing_completed_at"),
         *_terminal_columns(st, h, w, "NO_RIDER_ACCEPTED"),
         F.when((st == "COMPLETED") & (h % 107 != 0), _b(2400 + w + h % 600)).alias("completed_at"),
-    )
+    ]
+
+
+def qc_fulfilment_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return f0(spark, sf_dir).select(*_fu_cols())
 
 
 def qc_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,10 +184,10 @@ def _pick(idx: Column, values: list[str]) -> Column:
     return out
 
 
-def qc_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _dl_cols() -> list[Column]:
     h, w, st = F.col("h"), F.col("w"), F.col("st")
     dl = st == "DELIVERED"
-    return d0(spark, sf_dir).select(
+    return [
         F.col("fid").alias("delivery_id"),
         _when_mod(h, 233, F.lit(-1).cast("long"), F.col("fid")).alias("fulfilment_unit_id"),
         F.when(~dl | (h % 137 == 0), F.lit(None).cast("long"))
@@ -201,7 +203,11 @@ def qc_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
         _pick(h % 4, TRAFFIC).alias("traffic_condition"),
         _pick(h % 3, WEATHER).alias("weather_condition"),
         *_terminal_columns(st, h, w, "NO_RIDER_ACCEPTED"),
-    )
+    ]
+
+
+def qc_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return d0(spark, sf_dir).select(*_dl_cols())
 
 
 def a0(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,6 +223,13 @@ def a0(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("r", r))
 
 
+def _responded_at() -> Column:
+    h, w, n, r = F.col("h"), F.col("w"), F.col("n"), F.col("r")
+    t = _b(1120 + w + 20 * n + h % 71)
+    exp = r == "EXPIRED"
+    return F.when((~exp & (h % 179 != 0)) | (exp & (h % 181 == 0)), t)
+
+
 def qc_rider_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     h, w, n, r = F.col("h"), F.col("w"), F.col("n"), F.col("r")
     t = _b(1120 + w + 20 * n + h % 71)
@@ -226,7 +239,7 @@ def qc_rider_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
         _when_mod(h, 167, F.lit(-1).cast("long"), F.col("fid")).alias("delivery_id"),
         _when_mod(h, 251, F.lit(-1).cast("long"), F.col("a_rider")).alias("rider_id"),
         _b(1100 + w + 20 * n).alias("offered_at"),
-        F.when((~exp & (h % 179 != 0)) | (exp & (h % 181 == 0)), t).alias("responded_at"),
+        _responded_at().alias("responded_at"),
         F.when((exp & (h % 191 != 0)) | (~exp & (h % 193 == 0)), t).alias("expired_at"),
         r.alias("response"),
         F.when((r == "REJECTED") & (h % 197 != 0), F.lit("BUSY")).alias("rejection_reason"),
@@ -237,18 +250,22 @@ _EVENT_FAULTS = [("order_id", 263), ("fulfilment_unit_id", 269), ("delivery_id",
                  ("store_id", 277), ("rider_id", 281)]
 
 
-def _event_rows(df: DataFrame, code: int, event_type: str, time_col: Column, ids: dict) -> DataFrame:
-    h = F.col("h")
-    hc = h + code
-    cols = [(F.col("eid") * 16 + code).alias("event_id"), F.lit(event_type).alias("event_type"),
-            time_col.alias("occurred_at")]
+def _event_rows(df: DataFrame, stages: list[tuple[int, str, str]], ids: dict) -> DataFrame:
+    """Unpivot one state row into one event per non-null stage timestamp (one pass, no
+    per-stage rescan), then plant the key faults and drops of the test binding."""
+    structs = [F.struct(F.lit(code).alias("code"), F.lit(et).alias("event_type"), F.col(tc).alias("occurred_at"))
+               for code, et, tc in stages]
+    keep = [F.col("eid"), F.col("h")] + [(ids[n] if n in ids else F.lit(None).cast("long")).alias(n)
+                                         for n, _ in _EVENT_FAULTS]
+    u = df.select(*keep, F.inline(F.array(*structs)))
+    hc = F.col("h") + F.col("code")
+    u = u.filter(F.col("occurred_at").isNotNull() & (hc % 89 != 0))
+    cols = [(F.col("eid") * 16 + F.col("code")).alias("event_id"), "event_type", "occurred_at"]
     for name, m in _EVENT_FAULTS:
-        v = ids.get(name)
-        v = F.lit(None).cast("long") if v is None else v
+        v = F.col(name)
         cols.append(F.when(v.isNotNull() & (hc % m == 0), F.lit(-1).cast("long")).otherwise(v).alias(name))
     cols.append(F.lit(None).cast("string").alias("reason"))
-    return df.select(*cols, hc.alias("_hc")).filter(F.col("occurred_at").isNotNull() & (F.col("_hc") % 89 != 0)) \
-        .drop("_hc")
+    return u.select(*cols)
 
 
 def qc_operational_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -256,32 +273,29 @@ def qc_operational_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     created, base = _order_times(k, F.col("o_orderdate"))
     oe = o.select(k.alias("eid"), (k * 31).alias("h"), created.alias("created"), base.alias("base"), k.alias("k"))
-    parts = [
-        _event_rows(oe, 1, "ORDER_CREATED", F.col("created"), {"order_id": F.col("k")}),
-        _event_rows(oe, 2, "PAYMENT_SUCCESS", F.col("base"), {"order_id": F.col("k")}),
-    ]
-    fu = qc_fulfilment_units(spark, sf_dir)
-    f = f0(spark, sf_dir).select(F.col("fid").alias("eid"), "fid", "k", "s", "h", "rider", "st")
-    fj = f.join(fu, f.fid == fu.fulfilment_unit_id)
+    parts = [_event_rows(oe, [(1, "ORDER_CREATED", "created"), (2, "PAYMENT_SUCCESS", "base")],
+                         {"order_id": F.col("k")})]
+    # Stage columns come straight from the unit/delivery/offer rows: no re-join.
+    base_ids = [F.col("fid").alias("eid"), "fid", "k", "s", "h", "rider"]
+    fj = f0(spark, sf_dir).select(*base_ids, *[c for c in _fu_cols()])
     fids = {"order_id": F.col("k"), "fulfilment_unit_id": F.col("fid"), "store_id": F.col("s")}
-    for code, et, tc in [(3, "STORE_ASSIGNED", "assigned_to_store_at"), (4, "PICKING_STARTED", "picking_started_at"),
-                         (5, "PICKING_COMPLETED", "picking_completed_at"), (6, "FULFILMENT_CANCELLED", "cancelled_at"),
-                         (7, "PACKING_STARTED", "packing_started_at"), (8, "PACKING_COMPLETED", "packing_completed_at")]:
-        parts.append(_event_rows(fj, code, et, F.col(tc), fids))
-    dv = qc_deliveries(spark, sf_dir).withColumnRenamed("rider_id", "d_rider")
-    dj = f.join(dv, f.fid == dv.delivery_id)
+    parts.append(_event_rows(fj, [(3, "STORE_ASSIGNED", "assigned_to_store_at"),
+                                  (4, "PICKING_STARTED", "picking_started_at"),
+                                  (5, "PICKING_COMPLETED", "picking_completed_at"),
+                                  (6, "FULFILMENT_CANCELLED", "cancelled_at"),
+                                  (7, "PACKING_STARTED", "packing_started_at"),
+                                  (8, "PACKING_COMPLETED", "packing_completed_at")], fids))
+    dj = d0(spark, sf_dir).select(*base_ids, *[c for c in _dl_cols() if "rider_id" not in str(c)])
     dids = dict(fids, delivery_id=F.col("fid"))
-    parts.append(_event_rows(dj, 10, "DELIVERY_FAILED", F.col("failed_at"), dids))
-    ra = qc_rider_assignments(spark, sf_dir).select("assignment_id", "responded_at")
+    # DELIVERY_FAILED carries no rider; the other delivery stages carry the real rider.
+    parts.append(_event_rows(dj, [(10, "DELIVERY_FAILED", "failed_at")], dids))
+    parts.append(_event_rows(dj, [(12, "RIDER_ARRIVED_AT_STORE", "rider_arrived_at_store"),
+                                  (13, "PICKED_UP", "picked_up_at"),
+                                  (14, "DELIVERY_STARTED", "delivery_started_at"),
+                                  (15, "DELIVERED", "delivered_at")], dict(dids, rider_id=F.col("rider"))))
     acc = a0(spark, sf_dir).filter(F.col("r") == "ACCEPTED").select(
-        F.col("fid").alias("eid"), "fid", "k", "s", "h", "a_rider", (F.col("fid") * 10 + F.col("n")).alias("aid"))
-    aj = acc.join(ra, acc.aid == ra.assignment_id)
-    parts.append(_event_rows(aj, 11, "RIDER_ASSIGNED", F.col("responded_at"),
-                             dict(dids, rider_id=F.col("a_rider"))))
-    rids = dict(dids, rider_id=F.col("rider"))
-    for code, et, tc in [(12, "RIDER_ARRIVED_AT_STORE", "rider_arrived_at_store"), (13, "PICKED_UP", "picked_up_at"),
-                         (14, "DELIVERY_STARTED", "delivery_started_at"), (15, "DELIVERED", "delivered_at")]:
-        parts.append(_event_rows(dj, code, et, F.col(tc), rids))
+        F.col("fid").alias("eid"), "fid", "k", "s", "h", "a_rider", _responded_at().alias("responded_at"))
+    parts.append(_event_rows(acc, [(11, "RIDER_ASSIGNED", "responded_at")], dict(dids, rider_id=F.col("a_rider"))))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
