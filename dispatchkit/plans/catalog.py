@@ -6,7 +6,7 @@ import importlib
 
 from .registry import ORACLE, QUERIES
 
-_MODULES = ["q_aggs"]
+_MODULES = ["q_aggs", "q_joins"]
 _loaded = False
 
 

@@ -1,0 +1 @@
+"""Data-quality rules as data, compiled to a few DataFrame plans."""
