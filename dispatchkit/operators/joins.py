@@ -8,6 +8,8 @@ Spark on the real data - and shuffled otherwise.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.geo import haversine_km
@@ -46,6 +48,34 @@ def fk_orphans_multi(child: DataFrame, child_id: str, keys: dict[str, DataFrame]
     return unp.join(parents, ["kind", "id"], "left_anti")
 
 
+def fk_orphans_all(tables: dict[str, DataFrame], specs: list[tuple], key_of) -> DataFrame:
+    """All foreign-key checks of a set of tables in ONE anti join.
+
+    ``specs`` = [(rule_id, child, column, parent, parent_key, optional)]. Each child table
+    is scanned once and its key columns unpivoted to (rule_id, parent, id); the parents
+    contribute one distinct (parent, id) set. A NULL mandatory key matches nothing and is
+    reported; NULL optional keys are dropped before the join. Output: rule_id, child,
+    column, child_id, id."""
+    by_child: dict[str, list[tuple]] = {}
+    for spec in specs:
+        if spec[1] in tables and spec[3] in tables:
+            by_child.setdefault(spec[1], []).append(spec)
+    kids = []
+    for child, sp in by_child.items():
+        cid = key_of(child)
+        structs = [F.struct(F.lit(r).alias("rule_id"), F.lit(p).alias("parent"), F.lit(c).alias("column"),
+                            F.lit(opt).alias("optional"), F.col(c).cast("long").alias("id"))
+                   for r, _, c, p, _, opt in sp]
+        u = tables[child].select(F.col(cid).cast("string").alias("child_id"), F.inline(F.array(*structs)))
+        kids.append(u.filter(~F.col("optional") | F.col("id").isNotNull()).withColumn("child", F.lit(child)))
+    parents = []
+    for parent, pk in sorted({(s[3], s[4]) for spec in by_child.values() for s in spec}):
+        parents.append(tables[parent].select(F.lit(parent).alias("parent"), F.col(pk).cast("long").alias("id")))
+    pset = reduce(DataFrame.unionByName, parents).filter(F.col("id").isNotNull()).distinct()
+    allkids = reduce(DataFrame.unionByName, kids)
+    return allkids.join(pset, ["parent", "id"], "left_anti").select("rule_id", "child", "column", "child_id", "id")
+
+
 def lookup_last_wins(child: DataFrame, parent: DataFrame, key: str, order: list[str],
                      fields: list[str], prefix: str = "") -> DataFrame:
     """JN-3: attach the parent row; with repeated parent keys the last one (greatest
@@ -147,7 +177,7 @@ def zone_of_point_expr(lat, lon, zones=None) -> tuple[Column, Column]:
 def zone_of_point(points: DataFrame, lat: str, lon: str, out: str = "zone_of_point") -> DataFrame:
     """JN-15 over a DataFrame (row-local, no shuffle)."""
     z, n = zone_of_point_expr(lat, lon)
-    return points.withColumn(out, z).withColumn("n_zone_boxes", n)
+    return points.withColumn(out, z).withColumn("n_zone_boxes", n.cast("long"))
 
 
 def alternate_address(orders: DataFrame, customers: DataFrame) -> DataFrame:

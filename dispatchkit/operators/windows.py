@@ -98,7 +98,7 @@ def pick_k_per_group(df: DataFrame, group: str, rank_expr: Column, tiebreak: str
     WindowGroupLimit before the shuffle, so at most k rows per group leave each map task
     whatever the group size."""
     w = Window.partitionBy(group).orderBy(rank_expr, F.col(tiebreak))
-    return df.withColumn("pick_no", F.row_number().over(w)).filter(F.col("pick_no") <= k)
+    return df.withColumn("pick_no", F.row_number().over(w).cast("long")).filter(F.col("pick_no") <= k)
 
 
 def latest_and_earliest(df: DataFrame, key: str, time_col: str, tiebreak: str, fields: list[str]) -> DataFrame:

@@ -11,6 +11,8 @@ Identifiers are bigint here; -1 marks a planted orphan key.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.timestamps import add_seconds
@@ -335,11 +337,55 @@ BUILDERS = {
 }
 
 
-def qc(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One derived table by its declared name."""
+def qc_plan(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One derived table by its declared name, as a lazy plan over the raw scans."""
     return BUILDERS[name](spark, sf_dir)
 
 
+# Derived tables already written in this process: (sf_dir, name, input signature) -> path.
+_MATERIALIZED: dict[tuple, str] = {}
+MATERIALIZE_CONF = "dispatchkit.fixtures.materialize"
+
+
+def _signature(sf_dir: str) -> tuple:
+    sig = []
+    for t in RAW_TABLES:
+        p = os.path.join(sf_dir, f"{t}.parquet")
+        try:
+            st = os.stat(p)
+            sig.append((t, st.st_size, int(st.st_mtime)))
+        except OSError:
+            sig.append((t, None, None))
+    return tuple(sig)
+
+
+def qc(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One derived table by its declared name.
+
+    The operational tables exist as Parquet in a deployment; here they are derived from
+    the supplied tables. Each is written once per process to the shared checkpoint folder
+    and read back, so later plans scan Parquet (pruning, pushdown) instead of re-deriving
+    the table in every branch. Set ``dispatchkit.fixtures.materialize=false`` to plan the
+    derivation inline instead."""
+    if name == "zones" or spark.conf.get(MATERIALIZE_CONF, "true").lower() == "false":
+        return qc_plan(spark, sf_dir, name)
+    key = (os.path.abspath(sf_dir), name, _signature(sf_dir))
+    path = _MATERIALIZED.get(key)
+    if path is None or not _exists(spark, path):
+        from ..session import scratch_path
+        path = scratch_path(spark, f"derived-{name}")
+        qc_plan(spark, sf_dir, name).write.mode("overwrite").parquet(path)
+        _MATERIALIZED[key] = path
+    return spark.read.parquet(path)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")))
+
+
 def registry(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All ten declared tables (no zones), lazily planned."""
     return {n: qc(spark, sf_dir, n) for n in BUILDERS if n != "zones"}
