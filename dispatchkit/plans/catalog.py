@@ -6,7 +6,7 @@ import importlib
 
 from .registry import ORACLE, QUERIES
 
-_MODULES = ["q_aggs", "q_joins", "q_windows", "q_lifecycle", "q_scalars", "q_quality", "q_sources"]
+_MODULES = ["q_aggs", "q_joins", "q_windows", "q_lifecycle", "q_scalars", "q_quality", "q_sources", "q_stream"]
 _loaded = False
 
 

@@ -103,7 +103,7 @@ def q_zone_dim(spark, sf):
 
 @query("curated_views", section="SNK-3", oracle="""
 SELECT cast(delivered_at as date) AS delivery_date, count(*) AS n_delivered,
-       sum(cast(round(delivery_distance * 100, 0) as bigint)) AS total_centikm
+       cast(sum(cast(round(delivery_distance * 100, 0) as bigint)) as bigint) AS total_centikm
 FROM qc_deliveries WHERE status = 'DELIVERED' AND delivered_at IS NOT NULL GROUP BY 1
 """)
 def q_curated_views(spark, sf):
