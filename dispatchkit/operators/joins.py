@@ -199,9 +199,15 @@ def store_hour_grid(stores: DataFrame, start: str, hours: int = 24, ts: str = "r
 # Candidate picks without materialising candidate pairs.
 # ---------------------------------------------------------------------------------
 
+HASH_MODULUS = 2147483647      # 2^31 - 1
+HASH_MULTIPLIER = 48271
+
+
 def pick_hash(request_id: Column, seed: int) -> Column:
-    """Arithmetic (engine-independent) non-negative hash of a bigint id."""
-    return F.pmod(request_id * F.lit(2654435761) + F.lit(seed), F.lit(2147483647))
+    """Arithmetic (engine-independent) non-negative hash of a bigint id: one Lehmer step,
+    reduced first so the product stays far below 2^63 for any id."""
+    m = F.lit(HASH_MODULUS)
+    return F.pmod(F.pmod(request_id, m) * F.lit(HASH_MULTIPLIER) + F.lit(seed), m)
 
 
 def indexed_candidates(candidates: DataFrame, group: str, order: str, bucket_mod: int = 64) -> DataFrame:
@@ -232,3 +238,20 @@ def pick_from_groups(requests: DataFrame, request_id: str, request_group: str, i
                        *[F.col(x) for x in indexed.columns if x not in (cand_group, "cand_idx", "cand_idx_group_size")])
     j = r.join(c, (F.col("_g") == F.col("_cg")) & (F.col("_idx") == F.col("_ci")))
     return j.drop("_g", "_n", "_neff", "_start", "_idx", "_cg", "_ci")
+
+
+def pick_from_prefix(requests: DataFrame, request_id: str, group_col: str, n_col: str, indexed: DataFrame,
+                     cand_group: str, k: int = 1, seed: int = 17) -> DataFrame:
+    """Pick up to ``k`` distinct candidates among the first ``n`` (per request) of the
+    request's group, without replacement: hashed start, consecutive indices mod n. Used
+    when the eligible candidates are a prefix of the group's order (e.g. "available by
+    time t" over candidates sorted by availability)."""
+    n = F.col(n_col)
+    r = requests.filter(n.isNotNull() & (n > 0)) \
+        .withColumn("_start", F.pmod(pick_hash(F.col(request_id), seed), n)) \
+        .withColumn("pick_no", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(k).cast("long"), n))))
+    r = r.withColumn("_idx", F.pmod(F.col("_start") + F.col("pick_no") - 1, n))
+    c = indexed.select(F.col(cand_group).alias("_cg"), F.col("cand_idx").alias("_ci"),
+                       *[F.col(x) for x in indexed.columns if x not in (cand_group, "cand_idx", "cand_idx_group_size")])
+    j = r.join(c, (F.col(group_col) == F.col("_cg")) & (F.col("_idx") == F.col("_ci")))
+    return j.drop("_start", "_idx", "_cg", "_ci")

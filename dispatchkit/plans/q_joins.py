@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import joins
+from ..operators.ordered import asof_latest, dense_rank_index, time_bucket
 from ..quality.keys import FOREIGN_KEYS
 from ..sources.schemas import key_of
 from .fixtures import qc
@@ -229,7 +230,7 @@ sz AS (SELECT zone, max(n) AS n FROM idx GROUP BY zone)"""
 WITH {_STORE_IDX_SQL}
 SELECT r.order_id, r.delivery_zone, r.cand_zone, 1 AS pick_no, i.store_id
 FROM req r JOIN sz ON sz.zone = r.cand_zone
-JOIN idx i ON i.zone = r.cand_zone AND i.ci = ((r.order_id * 2654435761 + 17) % 2147483647) % sz.n
+JOIN idx i ON i.zone = r.cand_zone AND i.ci = (((r.order_id % 2147483647) * 48271 + 17) % 2147483647) % sz.n
 """)
 def q_store_candidates(spark, sf):
     return store_choice(spark, sf).select("order_id", "delivery_zone", "cand_zone", "pick_no", "store_id")
@@ -240,10 +241,10 @@ WITH {_STORE_IDX_SQL},
 first AS (
   SELECT r.order_id, r.delivery_zone, r.cand_zone, i.ci AS first_idx, i.store_id AS first_store
   FROM req r JOIN sz ON sz.zone = r.cand_zone
-  JOIN idx i ON i.zone = r.cand_zone AND i.ci = ((r.order_id * 2654435761 + 17) % 2147483647) % sz.n
+  JOIN idx i ON i.zone = r.cand_zone AND i.ci = (((r.order_id % 2147483647) * 48271 + 17) % 2147483647) % sz.n
   WHERE r.cand_zone <> '*'),
 second AS (
-  SELECT f.*, sz.n - 1 AS n2, ((f.order_id * 2654435761 + 29) % 2147483647) % (sz.n - 1) AS raw_idx
+  SELECT f.*, sz.n - 1 AS n2, (((f.order_id % 2147483647) * 48271 + 29) % 2147483647) % (sz.n - 1) AS raw_idx
   FROM first f JOIN sz ON sz.zone = f.cand_zone WHERE sz.n > 1)
 SELECT s.order_id, s.first_store, i.store_id AS second_store
 FROM second s JOIN idx i ON i.zone = s.cand_zone
@@ -260,3 +261,76 @@ def q_split_store_candidates(spark, sf):
     second = joins.pick_from_groups(first, "order_id", "cand_zone", zoned, "zone", k=1, seed=29,
                                     exclude_idx="first_idx")
     return second.select("order_id", "first_store", F.col("store_id").alias("second_store"))
+
+
+# ---- JN-8: rider candidates -------------------------------------------------------
+
+def _rider_availability(spark, sf):
+    """Active riders with the time they became available (first offer they received)."""
+    first = qc(spark, sf, "rider_assignments").groupBy("rider_id").agg(F.min("offered_at").alias("available_at"))
+    r = qc(spark, sf, "riders").filter(F.col("status") == "ACTIVE").select("rider_id", F.col("home_zone").alias("zone"))
+    return r.join(first, "rider_id").filter(F.col("available_at").isNotNull())
+
+
+def _rider_requests(spark, sf):
+    """One request per delivery: the store's zone and the time of the first offer."""
+    first = qc(spark, sf, "rider_assignments").groupBy("delivery_id").agg(F.min("offered_at").alias("offered_at"))
+    d = qc(spark, sf, "deliveries").select("delivery_id", "fulfilment_unit_id")
+    u = qc(spark, sf, "fulfilment_units").select("fulfilment_unit_id", "store_id")
+    s = qc(spark, sf, "stores").select("store_id", "zone")
+    return d.join(u, "fulfilment_unit_id").join(s, "store_id").join(first, "delivery_id") \
+        .select("delivery_id", "zone", "offered_at")
+
+
+@query("rider_candidates", section="JN-8", oracle="""
+WITH av AS (
+  SELECT r.rider_id, r.home_zone AS zone, f.available_at
+  FROM qc_riders r JOIN (SELECT rider_id, min(offered_at) AS available_at FROM qc_rider_assignments GROUP BY rider_id) f
+    ON f.rider_id = r.rider_id
+  WHERE r.status = 'ACTIVE' AND f.available_at IS NOT NULL),
+idx AS (
+  SELECT zone, rider_id, row_number() OVER (PARTITION BY zone ORDER BY available_at, rider_id) - 1 AS ci FROM av
+  UNION ALL
+  SELECT '*', rider_id, row_number() OVER (ORDER BY available_at, rider_id) - 1 FROM av),
+req AS (
+  SELECT d.delivery_id, s.zone, fo.offered_at
+  FROM qc_deliveries d JOIN qc_fulfilment_units u ON u.fulfilment_unit_id = d.fulfilment_unit_id
+  JOIN qc_stores s ON s.store_id = u.store_id
+  JOIN (SELECT delivery_id, min(offered_at) AS offered_at FROM qc_rider_assignments GROUP BY delivery_id) fo
+    ON fo.delivery_id = d.delivery_id),
+cnt AS (
+  SELECT q.delivery_id, q.zone,
+         (SELECT count(*) FROM av a WHERE a.zone = q.zone AND a.available_at <= q.offered_at) AS nz,
+         (SELECT count(*) FROM av a WHERE a.available_at <= q.offered_at) AS na
+  FROM req q),
+ch AS (
+  SELECT delivery_id, CASE WHEN nz > 0 THEN zone ELSE '*' END AS cand_zone, CASE WHEN nz > 0 THEN nz ELSE na END AS n
+  FROM cnt WHERE nz > 0 OR na > 0)
+SELECT ch.delivery_id, ch.cand_zone, ch.n AS n_available, p.j AS pick_no, i.rider_id
+FROM ch JOIN range(1, 4) AS p(j) ON p.j <= least(3, ch.n)
+JOIN idx i ON i.zone = ch.cand_zone
+ AND i.ci = ((((ch.delivery_id % 2147483647) * 48271 + 23) % 2147483647) % ch.n + p.j - 1) % ch.n
+""")
+def q_rider_candidates(spark, sf):
+    """JN-8: up to three offer candidates per delivery: active riders of the store's zone
+    available by the first offer (if none, any available rider). Availability by time is a
+    prefix of each zone's riders sorted by ``available_at``, so its size is an as-of
+    lookup, and the picks are indices into it: no rider x delivery pairs are formed."""
+    av = _rider_availability(spark, sf)
+    allz = av.withColumn("zone", F.lit("*"))
+    ranked = [dense_rank_index(x, "zone", ["available_at", "rider_id"], time_bucket("available_at"), out="cand_idx")
+              for x in (av, allz)]
+    indexed = ranked[0].unionByName(ranked[1])
+    req = _rider_requests(spark, sf)
+    req2 = req.select("delivery_id", F.lit("*").alias("zone"), "offered_at")
+    nz = asof_latest(req, ranked[0], "zone", "offered_at", "available_at", "rider_id", ["cand_idx"],
+                     fallback_earliest=False, prefix="z_")
+    na = asof_latest(req2, ranked[1], "zone", "offered_at", "available_at", "rider_id", ["cand_idx"],
+                     fallback_earliest=False, prefix="a_")
+    counts = nz.select("delivery_id", "zone", (F.col("z_cand_idx") + 1).alias("nz")) \
+        .join(na.select("delivery_id", (F.col("a_cand_idx") + 1).alias("na")), "delivery_id")
+    ch = counts.select("delivery_id",
+                       F.when(F.col("nz") > 0, F.col("zone")).otherwise(F.lit("*")).alias("cand_zone"),
+                       F.when(F.col("nz") > 0, F.col("nz")).otherwise(F.col("na")).alias("n_available"))
+    picks = joins.pick_from_prefix(ch, "delivery_id", "cand_zone", "n_available", indexed, "zone", k=3, seed=23)
+    return picks.select("delivery_id", "cand_zone", "n_available", "pick_no", "rider_id")
