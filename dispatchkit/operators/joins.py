@@ -227,9 +227,11 @@ def pick_from_groups(requests: DataFrame, request_id: str, request_group: str, i
     sizes = indexed.groupBy(F.col(cand_group).alias("_g")).agg(F.max("cand_idx_group_size").alias("_n"))
     r = requests.join(sizes, F.col(request_group) == F.col("_g"), "left")
     n_eff = F.col("_n") - (F.when(F.col(exclude_idx).isNotNull(), 1).otherwise(0) if exclude_idx else F.lit(0))
-    r = r.withColumn("_neff", n_eff).withColumn("_start", F.pmod(pick_hash(F.col(request_id), seed), F.col("_neff")))
+    # groups with no eligible candidate are dropped before any modulo by their size
+    r = r.withColumn("_neff", n_eff).filter(F.col("_neff").isNotNull() & (F.col("_neff") > 0))
+    r = r.withColumn("_start", F.pmod(pick_hash(F.col(request_id), seed), F.col("_neff")))
     r = r.withColumn("pick_no", F.explode(F.sequence(F.lit(1), F.lit(k))))
-    r = r.filter(F.col("_neff").isNotNull() & (F.col("pick_no") <= F.col("_neff")))
+    r = r.filter(F.col("pick_no") <= F.col("_neff"))
     idx = F.pmod(F.col("_start") + F.col("pick_no") - 1, F.col("_neff"))
     if exclude_idx:
         idx = F.when(F.col(exclude_idx).isNotNull() & (idx >= F.col(exclude_idx)), idx + 1).otherwise(idx)

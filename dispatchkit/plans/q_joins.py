@@ -65,15 +65,15 @@ def q_fk_orphans_optional(spark, sf):
 SELECT d.delivery_id, d.fulfilment_unit_id, i.order_item_id AS last_item_id, i.product_id AS last_product_id,
        i.quantity AS last_quantity
 FROM qc_deliveries d
-JOIN qc_order_items i ON i.fulfilment_unit_id = d.fulfilment_unit_id
-WHERE NOT EXISTS (SELECT 1 FROM qc_order_items j WHERE j.fulfilment_unit_id = i.fulfilment_unit_id
-                  AND (j.order_item_id > i.order_item_id
-                       OR (j.order_item_id = i.order_item_id AND j.product_id > i.product_id)))
+JOIN (SELECT *, row_number() OVER (PARTITION BY fulfilment_unit_id
+                                   ORDER BY order_item_id DESC, product_id DESC, quantity DESC) AS rn
+      FROM qc_order_items) i
+  ON i.fulfilment_unit_id = d.fulfilment_unit_id AND i.rn = 1
 """)
 def q_lookup_last_wins(spark, sf):
     d = qc(spark, sf, "deliveries").select("delivery_id", "fulfilment_unit_id")
     items = qc(spark, sf, "order_items").select("fulfilment_unit_id", "order_item_id", "product_id", "quantity")
-    r = joins.lookup_last_wins(d, items, "fulfilment_unit_id", ["order_item_id", "product_id"],
+    r = joins.lookup_last_wins(d, items, "fulfilment_unit_id", ["order_item_id", "product_id", "quantity"],
                                ["order_item_id", "product_id", "quantity"], prefix="p_")
     return r.select("delivery_id", "fulfilment_unit_id", F.col("p_order_item_id").alias("last_item_id"),
                     F.col("p_product_id").alias("last_product_id"), F.col("p_quantity").alias("last_quantity"))
