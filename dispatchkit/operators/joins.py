@@ -48,32 +48,48 @@ def fk_orphans_multi(child: DataFrame, child_id: str, keys: dict[str, DataFrame]
     return unp.join(parents, ["kind", "id"], "left_anti")
 
 
+def _common_key_type(dfs_cols: list[tuple[DataFrame, str]]) -> str:
+    """long when every key column is integral, else string (the union needs one type)."""
+    from pyspark.sql import types as T
+    integral = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    ok = all(isinstance(df.schema[c].dataType, integral) for df, c in dfs_cols)
+    return "long" if ok else "string"
+
+
 def fk_orphans_all(tables: dict[str, DataFrame], specs: list[tuple], key_of) -> DataFrame:
-    """All foreign-key checks of a set of tables in ONE anti join.
-
-    ``specs`` = [(rule_id, child, column, parent, parent_key, optional)]. Each child table
-    is scanned once and its key columns unpivoted to (rule_id, parent, id); the parents
-    contribute one distinct (parent, id) set. A NULL mandatory key matches nothing and is
-    reported; NULL optional keys are dropped before the join. Output: rule_id, child,
-    column, child_id, id."""
-    by_child: dict[str, list[tuple]] = {}
-    for spec in specs:
-        if spec[1] in tables and spec[3] in tables:
-            by_child.setdefault(spec[1], []).append(spec)
-    kids = []
-    for child, sp in by_child.items():
-        cid = key_of(child)
-        structs = [F.struct(F.lit(r).alias("rule_id"), F.lit(p).alias("parent"), F.lit(c).alias("column"),
-                            F.lit(opt).alias("optional"), F.col(c).cast("long").alias("id"))
-                   for r, _, c, p, _, opt in sp]
-        u = tables[child].select(F.col(cid).cast("string").alias("child_id"), F.inline(F.array(*structs)))
-        kids.append(u.filter(~F.col("optional") | F.col("id").isNotNull()).withColumn("child", F.lit(child)))
-    parents = []
-    for parent, pk in sorted({(s[3], s[4]) for spec in by_child.values() for s in spec}):
-        parents.append(tables[parent].select(F.lit(parent).alias("parent"), F.col(pk).cast("long").alias("id")))
-    pset = reduce(DataFrame.unionByName, parents).filter(F.col("id").isNotNull()).distinct()
-    allkids = reduce(DataFrame.unionByName, kids)
-    return allkids.join(pset, ["parent", "id"], "left_anti").select("rule_id", "child", "column", "child_id", "id")
+    """All foreign-key checks of a set of tables: one anti join per parent table.
+
+    ``specs`` = [(rule_id, child, column, parent, parent_key, optional)]. For each parent,
+    the child key columns that reference it are projected narrow (spec tag, child id, id;
+    Parquet reads only those columns) and unioned, then anti-joined once against the
+    parent's distinct keys. A small parent key set is broadcast by AQE (runtime size
+    check); a large one is shuffled. A NULL mandatory key matches nothing and is
+    reported; NULL optional keys are dropped first. Output: rule_id, child, column,
+    child_id, id."""
+    live = [sp for sp in specs if sp[1] in tables and sp[3] in tables]
+    parents = list(dict.fromkeys((sp[3], sp[4]) for sp in live))
+    id_t = _common_key_type([(tables[sp[1]], sp[2]) for sp in live] + [(tables[p], pk) for p, pk in parents])
+    cid_t = _common_key_type([(tables[sp[1]], key_of(sp[1])) for sp in live])
+    per_parent = []
+    for p, pk in parents:
+        kids = []
+        for i, sp in enumerate(live):
+            if (sp[3], sp[4]) != (p, pk):
+                continue
+            k = tables[sp[1]].select(F.lit(i).alias("spec"), F.col(key_of(sp[1])).cast(cid_t).alias("child_id"),
+                                     F.col(sp[2]).cast(id_t).alias("id"))
+            kids.append(k.filter(F.col("id").isNotNull()) if sp[5] else k)
+        ids = tables[p].select(F.col(pk).cast(id_t).alias("id")).filter(F.col("id").isNotNull()).distinct()
+        per_parent.append(reduce(DataFrame.unionByName, kids).join(ids, "id", "left_anti"))
+    orphans = reduce(DataFrame.unionByName, per_parent)
+
+    def name(idx: int) -> Column:
+        out = None
+        for i, sp in enumerate(live):
+            out = F.when(F.col("spec") == i, F.lit(sp[idx])) if out is None else out.when(F.col("spec") == i, F.lit(sp[idx]))
+        return out
+    return orphans.select(name(0).alias("rule_id"), name(1).alias("child"), name(2).alias("column"),
+                          F.col("child_id").cast("string").alias("child_id"), "id")
 
 
 def lookup_last_wins(child: DataFrame, parent: DataFrame, key: str, order: list[str],
