@@ -84,14 +84,15 @@ def all_in_status(units: DataFrame, status: str = "COMPLETED", order_key: str =
 
 
 def fulfilments_by_order(units: DataFrame, order_key: str = "order_id",
-                         unit_key: str = "fulfilment_unit_id") -> DataFrame:
-    """AG-6: each order's units in unit order, as text (bounded per order: units of one
-    basket). Also the count, so callers need not re-aggregate."""
-    return units.groupBy(order_key).agg(
-        F.count(F.lit(1)).alias("n_units"),
-        F.array_join(F.sort_array(F.collect_list(F.col(unit_key).cast("string"))), ",").alias("unit_ids_text"),
-        F.min(unit_key).alias("first_unit"),
-    )
+                         unit_key: str = "fulfilment_unit_id", bucket_width: int = 4096) -> DataFrame:
+    """AG-6: each order's units in unit order, in relational form: one row per unit with
+    its 1-based position and the order's unit count. No list is collected, so an order
+    key holding a large share of the units (a placeholder id) is still spread over tasks
+    (bucketed dense index, see ``ordered.dense_rank_index``)."""
+    from .ordered import dense_rank_index
+    u = units.select(order_key, unit_key)
+    r = dense_rank_index(u, order_key, [unit_key], F.floor(F.col(unit_key) / F.lit(bucket_width)), out="_pos")
+    return r.select(order_key, unit_key, (F.col("_pos") + 1).alias("position"), F.col("_pos_group_size").alias("n_units"))
 
 
 def split_orders(units: DataFrame, order_key: str = "order_id", store_key: str = "store_id") -> DataFrame:
@@ -102,10 +103,18 @@ def split_orders(units: DataFrame, order_key: str = "order_id", store_key: str =
 
 
 def event_types_by_entity(events: DataFrame, key: str = "delivery_id") -> DataFrame:
-    """AG-5: the set of event types seen per entity (at most 15 values: bounded)."""
-    return (events.filter(F.col(key).isNotNull()).groupBy(key)
-            .agg(F.sort_array(F.collect_set("event_type")).alias("event_types"),
-                 F.count(F.lit(1)).alias("n_events")))
+    """AG-5: the set of event types seen per entity, as a name-ordered array built from
+    one presence flag per known type (fixed-width state, whatever the group size), plus
+    the number of events and of distinct types outside the known domain."""
+    from ..sources.schemas import EVENT_TYPES
+    known = sorted(EVENT_TYPES)
+    et = F.col("event_type")
+    g = events.filter(F.col(key).isNotNull()).groupBy(key).agg(
+        *[F.max(et == t).alias("_has_" + t) for t in known],
+        F.count(F.lit(1)).alias("n_events"),
+        F.countDistinct(F.when(~et.isin(*known), et)).alias("n_unknown_types"))
+    types = F.filter(F.array(*[F.when(F.col("_has_" + t), F.lit(t)) for t in known]), lambda x: x.isNotNull())
+    return g.select(key, types.alias("event_types"), "n_events", "n_unknown_types")
 
 
 def duplicate_keys(df: DataFrame, key) -> DataFrame:

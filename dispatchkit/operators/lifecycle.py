@@ -228,13 +228,17 @@ REQUIRED_FAILED = ["DELIVERY_FAILED"]
 def missing_event_types(deliveries: DataFrame, events: DataFrame) -> DataFrame:
     """Per DELIVERED/FAILED delivery: the required event types it lacks, sorted (SO-5).
     Left join: a delivery with no event at all lacks every required type."""
-    present = events.filter(F.col("delivery_id").isNotNull()).groupBy("delivery_id") \
-        .agg(F.collect_set("event_type").alias("_present"))
+    required = sorted(set(REQUIRED_DELIVERED) | set(REQUIRED_FAILED))
+    # one fixed-width flag per required type (not a collected set): bounded state per key
+    present = events.filter(F.col("delivery_id").isNotNull() & F.col("event_type").isin(*required)) \
+        .groupBy("delivery_id").agg(*[F.max(F.col("event_type") == t).alias("_has_" + t) for t in required])
     d = deliveries.filter(F.col("status").isin("DELIVERED", "FAILED")).select("delivery_id", "status")
     j = d.join(present, "delivery_id", "left")
-    req = F.when(F.col("status") == "DELIVERED", F.array(*[F.lit(t) for t in REQUIRED_DELIVERED])) \
-        .otherwise(F.array(*[F.lit(t) for t in REQUIRED_FAILED]))
-    missing = F.sort_array(F.array_except(req, F.coalesce(F.col("_present"), F.array().cast("array<string>"))))
+    lacks = []
+    for t in sorted(required):
+        need = F.col("status") == ("DELIVERED" if t in REQUIRED_DELIVERED else "FAILED")
+        lacks.append(F.when(need & ~F.coalesce(F.col("_has_" + t), F.lit(False)), F.lit(t)))
+    missing = F.filter(F.array(*lacks), lambda x: x.isNotNull())     # already in name order
     return j.select("delivery_id", "status", missing.alias("missing_types")).filter(F.size("missing_types") > 0)
 
 

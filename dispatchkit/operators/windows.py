@@ -50,6 +50,9 @@ def timestamp_chain(df: DataFrame, id_col: str, columns: list[str]) -> DataFrame
     return d.select(id_col, F.inline(bad))
 
 
+REPEAT_CHUNK = 1_000_000
+
+
 def repeat_occurrences(df: DataFrame, key) -> DataFrame:
     """WN-3 / AG-4: one row per repeat of a key - occurrences 2..n of every key seen n>1
     times (a missing key is never a repeat; it is reported as missing). Exact even for
@@ -61,8 +64,15 @@ def repeat_occurrences(df: DataFrame, key) -> DataFrame:
         c = F.col(k).isNotNull()
         present = c if present is None else (present & c)
     counts = df.filter(present).groupBy(*keys).agg(F.count(F.lit(1)).alias("occurrences"))
-    return counts.filter(F.col("occurrences") > 1) \
-        .select(*keys, F.explode(F.sequence(F.lit(2).cast("long"), F.col("occurrences"))).alias("occurrence"))
+    # a key repeated n times yields n-1 rows: explode in chunks of at most CHUNK repeats and
+    # spread the chunks over tasks, so one hot key does not emit all its rows from one task
+    chunk = REPEAT_CHUNK
+    starts = counts.filter(F.col("occurrences") > 1).select(
+        *keys, "occurrences",
+        F.explode(F.sequence(F.lit(2).cast("long"), F.col("occurrences"), F.lit(chunk).cast("long"))).alias("_c"))
+    starts = starts.repartition(*[F.col(k) for k in keys], F.col("_c"))
+    return starts.select(*keys, F.explode(F.sequence(
+        F.col("_c"), F.least(F.col("_c") + F.lit(chunk - 1), F.col("occurrences")))).alias("occurrence"))
 
 
 def available_at(df: DataFrame, key: str, order: list[str], value: str,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import aggs
+from ..sources.schemas import EVENT_TYPES
 from .fixtures import qc
 from .registry import query
 
@@ -69,11 +70,10 @@ def q_all_in_status(spark, sf):
 
 
 @query("fulfilments_by_order", section="AG-6", oracle="""
-SELECT order_id, count(*) AS n_units,
-       string_agg(cast(fulfilment_unit_id as varchar), ',' ORDER BY cast(fulfilment_unit_id as varchar))
-         AS unit_ids_text,
-       min(fulfilment_unit_id) AS first_unit
-FROM qc_fulfilment_units GROUP BY order_id
+SELECT order_id, fulfilment_unit_id,
+       row_number() OVER (PARTITION BY order_id ORDER BY fulfilment_unit_id) AS position,
+       count(*) OVER (PARTITION BY order_id) AS n_units
+FROM qc_fulfilment_units
 """)
 def q_fulfilments_by_order(spark, sf):
     return aggs.fulfilments_by_order(qc(spark, sf, "fulfilment_units"))
@@ -87,8 +87,15 @@ def q_split_orders(spark, sf):
     return aggs.split_orders(qc(spark, sf, "fulfilment_units"))
 
 
-@query("event_types_by_delivery", section="AG-5", oracle="""
-SELECT delivery_id, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS event_types, count(*) AS n_events
+_KNOWN_TYPES = ", ".join(f"'{t}'" for t in EVENT_TYPES)
+
+
+@query("event_types_by_delivery", section="AG-5", oracle=f"""
+SELECT delivery_id,
+       coalesce(string_agg(DISTINCT event_type, ',' ORDER BY event_type)
+                  FILTER (WHERE event_type IN ({_KNOWN_TYPES})), '') AS event_types,
+       count(*) AS n_events,
+       count(DISTINCT event_type) FILTER (WHERE event_type NOT IN ({_KNOWN_TYPES})) AS n_unknown_types
 FROM qc_operational_events WHERE delivery_id IS NOT NULL GROUP BY delivery_id
 """)
 def q_event_types_by_delivery(spark, sf):
