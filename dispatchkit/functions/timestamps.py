@@ -71,6 +71,23 @@ def hour_of(ts) -> Column:
     return F.hour(_col(ts))
 
 
+def epoch_micros(ts) -> Column:
+    """Microseconds since 1970-01-01 00:00:00 of a TIMESTAMP_NTZ wall clock, computed
+    from its calendar fields. (``timestamp_diff``/``unix_*`` would first cast NTZ to a
+    session-zone TIMESTAMP and shift by an hour across daylight-saving changes.)"""
+    c = _col(ts)
+    whole = F.unix_date(F.to_date(c)).cast("long") * 86400 + F.hour(c) * 3600 + F.minute(c) * 60
+    return whole * 1_000_000 + (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("long")
+
+
+def epoch_seconds(ts) -> Column:
+    """Whole seconds since the epoch of a TIMESTAMP_NTZ wall clock (fractions dropped)."""
+    c = _col(ts)
+    return F.unix_date(F.to_date(c)).cast("long") * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
+
+
 def seconds_between(start, end) -> Column:
-    """Whole seconds from ``start`` to ``end`` (negative when reversed), zone-free."""
-    return F.timestamp_diff("SECOND", _col(start), _col(end))
+    """Whole seconds from ``start`` to ``end`` (exact difference truncated toward zero,
+    negative when reversed), independent of the session time zone."""
+    d = epoch_micros(end) - epoch_micros(start)
+    return (d / F.lit(1_000_000)).cast("long")

@@ -22,9 +22,9 @@ DEFAULT_BUCKET_SECONDS = 86400
 
 def time_bucket(ts, width_seconds: int = DEFAULT_BUCKET_SECONDS) -> Column:
     """Zone-free bucket number of a TIMESTAMP_NTZ (NULL stays NULL)."""
+    from ..functions.timestamps import epoch_seconds
     c = F.col(ts) if isinstance(ts, str) else ts
-    secs = F.timestamp_diff("SECOND", F.lit(EPOCH).cast("timestamp_ntz"), c)
-    return F.floor(secs / F.lit(width_seconds)).cast("long")
+    return F.floor(epoch_seconds(c) / F.lit(width_seconds)).cast("long")
 
 
 def _cols(x) -> list[str]:

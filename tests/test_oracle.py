@@ -40,3 +40,14 @@ def test_every_survey_operator_registered():
     inventory = survey[survey.index("## 2. Operator inventory"):survey.index("## Not built")]
     keys = {k for k in re.findall(r"\| [A-Z]{2,3}-\d+ \| \*\*([a-z_]+)\*\*", inventory)}
     assert keys and not (keys - set(E.queries())), sorted(keys - set(E.queries()))
+
+
+@pytest.mark.parametrize("key", ["stage_durations", "asof_staffing", "rider_overlap", "transit_bounds",
+                                 "pick_workload", "stream_hourly_load", "staffing_plan", "parse_ts", "hour_of"])
+def test_results_do_not_depend_on_session_zone(spark, con, key):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        r = compare(spark, SF_SMALL, key, E.queries()[key], E.oracle_sql().get(key), con)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert r["status"] == "MATCH", r
