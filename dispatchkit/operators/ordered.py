@@ -96,11 +96,14 @@ def asof_latest(probe: DataFrame, build: DataFrame, key: str, probe_time: str, b
     order = [F.col("_t"), F.col("_side"), F.col("_ord")]
     w_in = Window.partitionBy("_k", "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     u = u.withColumn("_in", F.last("_pl", ignorenulls=True).over(w_in))
-    # one summary row per (key, bucket) holding any row, so a bucket with probes but no
-    # build row still receives the carry; probe rows have a NULL ordering and are ignored
-    summ = (u.groupBy("_k", "_b")
-            .agg(F.max_by("_pl", F.when(F.col("_side") == 0, F.struct(F.col("_t"), F.col("_ord"))))
-                 .alias("_blast")))
+    # carry-in: the last build row of each (key, bucket) - an aggregate over the build side
+    # only - plus one row per (key, bucket) that holds probes (a narrow hash aggregate), so
+    # a bucket with probes but no build row still receives the carry
+    bsum = (bb.withColumn("_b", time_bucket("_t", width_seconds)).groupBy("_k", "_b")
+            .agg(F.max_by("_pl", F.struct(F.col("_t"), F.col("_ord"))).alias("_blast")))
+    pkeys = (p.select("_k", time_bucket("_t", width_seconds).alias("_b")).filter(F.col("_b").isNotNull())
+             .distinct().withColumn("_blast", F.lit(None).cast(bsum.schema["_blast"].dataType)))
+    summ = bsum.unionByName(pkeys).groupBy("_k", "_b").agg(F.max("_blast").alias("_blast"))
     w_b = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     summ = summ.select("_k", "_b", F.last("_blast", ignorenulls=True).over(w_b).alias("_carry"))
     probes = u.filter(F.col("_side") == 1).join(summ, ["_k", "_b"], "left")

@@ -317,18 +317,21 @@ def q_rider_candidates(spark, sf):
     prefix of each zone's riders sorted by ``available_at``, so its size is an as-of
     lookup, and the picks are indices into it: no rider x delivery pairs are formed."""
     av = _rider_availability(spark, sf)
-    allz = av.withColumn("zone", F.lit("*"))
-    ranked = [dense_rank_index(x, "zone", ["available_at", "rider_id"], time_bucket("available_at"), out="cand_idx")
-              for x in (av, allz)]
-    indexed = ranked[0].unionByName(ranked[1])
+    # one dense index over both groupings: per home zone, and '*' = every zone
+    both = av.unionByName(av.withColumn("zone", F.lit("*")))
+    indexed = dense_rank_index(both, "zone", ["available_at", "rider_id"], time_bucket("available_at"),
+                               out="cand_idx")
     req = _rider_requests(spark, sf)
-    req2 = req.select("delivery_id", F.lit("*").alias("zone"), "offered_at")
-    nz = asof_latest(req, ranked[0], "zone", "offered_at", "available_at", "rider_id", ["cand_idx"],
-                     fallback_earliest=False, prefix="z_")
-    na = asof_latest(req2, ranked[1], "zone", "offered_at", "available_at", "rider_id", ["cand_idx"],
-                     fallback_earliest=False, prefix="a_")
-    counts = nz.select("delivery_id", "zone", (F.col("z_cand_idx") + 1).alias("nz")) \
-        .join(na.select("delivery_id", (F.col("a_cand_idx") + 1).alias("na")), "delivery_id")
+    # each request probes its own zone and '*' in ONE as-of pass; the latest available
+    # rider's index + 1 is the number of riders available by the first offer
+    probes = req.select("delivery_id", "zone", "offered_at", F.lit(False).alias("any_zone")) \
+        .unionByName(req.select("delivery_id", F.lit("*").alias("zone"), "offered_at", F.lit(True).alias("any_zone")))
+    hit = asof_latest(probes, indexed, "zone", "offered_at", "available_at", "rider_id", ["cand_idx"],
+                      fallback_earliest=False, prefix="c_")
+    counts = hit.groupBy("delivery_id").agg(
+        F.max(F.when(~F.col("any_zone"), F.col("zone"))).alias("zone"),
+        F.max(F.when(~F.col("any_zone"), F.col("c_cand_idx") + 1)).alias("nz"),
+        F.max(F.when(F.col("any_zone"), F.col("c_cand_idx") + 1)).alias("na"))
     ch = counts.select("delivery_id",
                        F.when(F.col("nz") > 0, F.col("zone")).otherwise(F.lit("*")).alias("cand_zone"),
                        F.when(F.col("nz") > 0, F.col("nz")).otherwise(F.col("na")).alias("n_available"))
