@@ -143,6 +143,26 @@ def dense_rank_index(df: DataFrame, group, order: list[str], bucket: Column, out
                     F.col("_group_size").alias(out + "_group_size"))
 
 
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+MAX_RANGE_PARTITIONS = 50_000
+
+
+def range_partitions(df: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
+    """Partition count for a range shuffle from the optimizer's size estimate (plan
+    statistics, no pass over the data): about ``target_bytes`` per partition, at least
+    the session's shuffle parallelism, so one partition never has to hold a huge share."""
+    spark = df.sparkSession
+    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        # sum of the leaf scans' sizes: the bytes actually read. (The root estimate of a
+        # join is the product of its inputs without CBO, useless for sizing.)
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    except Exception:       # statistics unavailable: fall back to the session setting
+        return floor
+    return max(floor, min(MAX_RANGE_PARTITIONS, -(-size // target_bytes)))
+
+
 def sequential_number(df: DataFrame, order: list[str], n_partitions: int | None = None,
                       out: str = "seq") -> DataFrame:
     """1-based global position in ``order`` without a single-task window.
@@ -155,7 +175,7 @@ def sequential_number(df: DataFrame, order: list[str], n_partitions: int | None
     spark = df.sparkSession
     from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
-    n = n_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = n_partitions or range_partitions(df)
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     tagged = ranged.withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
     part = F.shiftright(F.col("_mid"), 33)
