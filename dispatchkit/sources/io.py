@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.timestamps import CANONICAL_PATTERN, empty_to_null, parse_ts_optional
-from .schemas import DECLARED, columns, struct_type, timestamp_columns
+from .schemas import DECLARED, columns, struct_type, timestamp_columns  # noqa: F401 (re-exported)
 
 CSV_OPTIONS = {"header": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
 
