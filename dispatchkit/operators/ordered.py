@@ -27,6 +27,23 @@ def time_bucket(ts, width_seconds: int = DEFAULT_BUCKET_SECONDS) -> Column:
     return F.floor(epoch_seconds(c) / F.lit(width_seconds)).cast("long")
 
 
+def quantile_bucket(df: DataFrame, key, ts: str, n: int = 32, out: str = "_qbucket") -> DataFrame:
+    """Add a per-key, count-based bucket: the number of the key's approximate time
+    quantiles (1/n .. (n-1)/n) at or before the row's time. Monotonic in time within a
+    key, and each bucket holds about 1/n of that key's rows, so a key with a third of the
+    table is split n ways however its rows are spread in time. Costs one partial+final
+    aggregate (``percentile_approx``) and a join of one row per key."""
+    from ..functions.timestamps import epoch_seconds
+    keys = _cols(key)
+    fractions = [i / n for i in range(1, n)]
+    bounds = df.filter(F.col(ts).isNotNull()).groupBy(*keys).agg(
+        F.percentile_approx(epoch_seconds(ts), fractions, 10000).alias("_qbounds"))
+    t = epoch_seconds(ts)
+    return df.join(bounds, keys, "left").withColumn(
+        out, F.size(F.filter(F.coalesce(F.col("_qbounds"), F.array().cast("array<bigint>")),
+                             lambda b: b <= t)).cast("long")).drop("_qbounds")
+
+
 def _cols(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 

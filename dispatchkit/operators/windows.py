@@ -8,19 +8,28 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .ordered import (DEFAULT_BUCKET_SECONDS, asof_latest, dense_rank_index, previous_row,
+from .ordered import (DEFAULT_BUCKET_SECONDS, asof_latest, dense_rank_index, previous_row, quantile_bucket,
                       running_max_before, sequential_number, time_bucket)
 
 
+def _bucketed(d: DataFrame, key: str, ts: str, bucketing: str, bucket_seconds: int) -> tuple[DataFrame, Column]:
+    """Time buckets (default), or per-key quantile buckets for extreme skew."""
+    if bucketing == "quantile":
+        return quantile_bucket(d, key, ts), F.col("_qbucket")
+    if bucketing == "time":
+        return d, time_bucket(ts, bucket_seconds)
+    raise ValueError(bucketing)
+
+
 def interval_overlaps(df: DataFrame, key: str, start: str, end: str, id_col: str, mode: str = "adjacent",
-                      bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                      bucket_seconds: int = DEFAULT_BUCKET_SECONDS, bucketing: str = "time") -> DataFrame:
     """WN-1: per key, intervals sorted by (start, id); report a row whose start is before
     the previous row's end (``adjacent``, the reference check) or before the latest end
     of all earlier rows (``running_max``, also finds intervals nested in a long one).
     Rows with a missing key, start or end are skipped."""
     d = df.filter(F.col(key).isNotNull() & F.col(start).isNotNull() & F.col(end).isNotNull()) \
         .select(key, start, end, id_col)
-    b = time_bucket(start, bucket_seconds)
+    d, b = _bucketed(d, key, start, bucketing, bucket_seconds)
     if mode == "adjacent":
         p = previous_row(d, key, [start, id_col], [id_col, end], b, prefix="prev_")
         return p.filter(F.col(start) < F.col("prev_" + end)) \
@@ -76,10 +85,12 @@ def repeat_occurrences(df: DataFrame, key) -> DataFrame:
 
 
 def available_at(df: DataFrame, key: str, order: list[str], value: str,
-                 bucket_seconds: int = DEFAULT_BUCKET_SECONDS, out: str = "available_at") -> DataFrame:
+                 bucket_seconds: int = DEFAULT_BUCKET_SECONDS, out: str = "available_at",
+                 bucketing: str = "time") -> DataFrame:
     """WN-4: when each key (rider) is next free at each row: the latest ``value``
     (delivered_at) among earlier rows in ``order``; NULL (free since ever) at the first."""
-    return running_max_before(df, key, order, value, time_bucket(order[0], bucket_seconds), out=out)
+    d, b = _bucketed(df, key, order[0], bucketing, bucket_seconds)
+    return running_max_before(d, key, order, value, b, out=out).select(*df.columns, out)
 
 
 def accepted_attempt(offers: DataFrame, key: str = "delivery_id", seq: str = "assignment_id") -> DataFrame:
