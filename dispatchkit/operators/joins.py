@@ -22,10 +22,10 @@ def fk_orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key:
     """JN-1 / JN-2: child rows whose parent key is absent.
 
     Mandatory keys: a NULL child key is reported too (it is in no id set). Optional
-    keys: NULL is allowed and skipped. The parent side is reduced to distinct keys first
-    (a partial aggregate), so duplicate parents never fan the join out."""
+    keys: NULL is allowed and skipped. An anti join never multiplies rows, so the parent
+    keys are used as they are (no distinct aggregate, no extra shuffle)."""
     pk = parent_key or child_key
-    ids = parent.select(F.col(pk).alias("_pk")).distinct()
+    ids = parent.select(F.col(pk).alias("_pk")).filter(F.col("_pk").isNotNull())
     c = child.filter(F.col(child_key).isNotNull()) if optional else child
     return c.join(ids, F.col(child_key) == F.col("_pk"), "left_anti")
 
@@ -44,7 +44,6 @@ def fk_orphans_multi(child: DataFrame, child_id: str, keys: dict[str, DataFrame]
     for k, pdf in keys.items():
         p = pdf.select(F.lit(k).alias("kind"), F.col(pdf.columns[0]).cast("long").alias("id"))
         parents = p if parents is None else parents.unionByName(p)
-    parents = parents.distinct()
     return unp.join(parents, ["kind", "id"], "left_anti")
 
 
@@ -79,7 +78,7 @@ def fk_orphans_all(tables: dict[str, DataFrame], specs: list[tuple], key_of) ->
             k = tables[sp[1]].select(F.lit(i).alias("spec"), F.col(key_of(sp[1])).cast(cid_t).alias("child_id"),
                                      F.col(sp[2]).cast(id_t).alias("id"))
             kids.append(k.filter(F.col("id").isNotNull()) if sp[5] else k)
-        ids = tables[p].select(F.col(pk).cast(id_t).alias("id")).filter(F.col("id").isNotNull()).distinct()
+        ids = tables[p].select(F.col(pk).cast(id_t).alias("id")).filter(F.col("id").isNotNull())
         per_parent.append(reduce(DataFrame.unionByName, kids).join(ids, "id", "left_anti"))
     orphans = reduce(DataFrame.unionByName, per_parent)
 
@@ -167,7 +166,7 @@ def state_mismatch(deliveries: DataFrame, units: DataFrame) -> DataFrame:
 def coverage_gap(parents: DataFrame, children: DataFrame, key: str, child_key: str | None = None) -> DataFrame:
     """JN-14: parents with no child."""
     ck = child_key or key
-    ids = children.select(F.col(ck).alias("_ck")).filter(F.col("_ck").isNotNull()).distinct()
+    ids = children.select(F.col(ck).alias("_ck")).filter(F.col("_ck").isNotNull())
     return parents.join(ids, F.col(key) == F.col("_ck"), "left_anti")
 
 
