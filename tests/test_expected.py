@@ -87,3 +87,12 @@ def test_filter_pushed_into_scan(spark):
     df = E.queries()["events_of_type"](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [In(event_type" in plan or "PushedFilters: [IsNotNull(event_type), In(event_type" in plan, plan
+
+
+@pytest.mark.parametrize("key", sorted(E.queries()))
+def test_no_pairs_or_python_in_any_plan(spark, key):
+    """Every registered query: no Cartesian product, no Python evaluation node."""
+    df = E.queries()[key](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for bad in FORBIDDEN:
+        assert bad not in plan, (key, bad)
