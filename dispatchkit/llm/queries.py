@@ -3,9 +3,9 @@ for those that SQL can express."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, mixing
+from . import ans, exact_dedup, mixing, packing
 from .common import read_table
 
 
@@ -15,14 +15,36 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file on this machine."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write all documents' token ids, read the files back, and sum up each document."""
+    blocks, shared = ans.write_token_files(read_table(spark, sf_dir, "documents"),
+                                           vocabulary("word_bpe_49k.json"), end_id=1)
+    return ans.documents_of(blocks, shared).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group, keeper and digest of every document's normalised text."""
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pack all documents into sequences of at most 1024 ids."""
+    pieces = packing.pack(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=0)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                         "offset")
+
+
 QUERIES = {
     "op2_source_mix": op2_source_mix,
+    "op6_token_files": op6_token_files,
     "op7_exact_dedup": op7_exact_dedup,
+    "op9_packing": op9_packing,
 }
 
 ORACLE = {
