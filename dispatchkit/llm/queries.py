@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ans, exact_dedup, mixing, packing
+from . import ans, exact_dedup, jaccard_join, mixing, packing
 from .common import read_table
 
 
@@ -15,6 +15,11 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and near-duplicate component of every document."""
+    return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
 def vocabulary(name: str) -> str:
     """Path of a public tokenizer's file on this machine."""
     import public_tokenizers
@@ -42,6 +47,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_source_mix": op2_source_mix,
+    "op4_jaccard_join": op4_jaccard_join,
     "op6_token_files": op6_token_files,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_packing": op9_packing,
