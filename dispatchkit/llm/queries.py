@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ans, exact_dedup, jaccard_join, mixing, packing
+from . import ans, exact_dedup, jaccard_join, mixing, packing, quality
 from .common import read_table
 
 
@@ -20,6 +20,11 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learnt from the labelled rows that are not held out."""
+    return quality.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def vocabulary(name: str) -> str:
     """Path of a public tokenizer's file on this machine."""
     import public_tokenizers
@@ -48,6 +53,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_source_mix": op2_source_mix,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_quality_classifier": op5_quality_classifier,
     "op6_token_files": op6_token_files,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_packing": op9_packing,
