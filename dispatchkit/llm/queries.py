@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ans, exact_dedup, jaccard_join, mixing, packing, quality
+from . import ans, exact_dedup, jaccard_join, mixing, packing, quality, url_lists
 from .common import read_table
 
 
@@ -43,6 +43,12 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op8_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page judged by the list entries active when it was fetched."""
+    pages = read_table(spark, sf_dir, "pages")
+    return url_lists.temporal_list_join(url_lists.dated_captures(pages), url_lists.derived_entries(pages))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack all documents into sequences of at most 1024 ids."""
     pieces = packing.pack(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=0)
@@ -56,6 +62,7 @@ QUERIES = {
     "op5_quality_classifier": op5_quality_classifier,
     "op6_token_files": op6_token_files,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_url_lists": op8_url_lists,
     "op9_packing": op9_packing,
 }
 
@@ -91,6 +98,44 @@ SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
          AND row_number() OVER (PARTITION BY t, doc_id) = 1 AS kept,
        sha256(t) AS text_sha256
 FROM n WINDOW g AS (PARTITION BY t)""",
+    "op8_url_lists": r"""
+WITH u AS (
+  SELECT page_id, url, DATE '2024-01-01' + CAST(CAST('0x' || substr(md5(CAST(page_id AS VARCHAR)), 1, 6) AS INT) % 366 AS INT) AS fetched_on,
+         nullif(regexp_replace(lower(regexp_extract(coalesce(url, ''),
+           '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '\.$', ''), '') AS host,
+         list_filter(string_split(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)', 1), '/'),
+                     lambda x: x <> '') AS segs
+  FROM pages),
+h AS (SELECT DISTINCT host, string_split(host, '.') AS l,
+             CAST('0x' || substr(md5('h:' || host), 1, 6) AS INT) % 4 AS pick FROM u WHERE host IS NOT NULL),
+raw AS (
+  SELECT DISTINCT 'host' AS kind, host AS pattern, [0, 40] AS steps FROM h WHERE pick = 0
+  UNION ALL
+  SELECT DISTINCT 'domain', CASE WHEN len(l) > 2 THEN array_to_string(l[2:], '.') ELSE host END, [0] FROM h WHERE pick = 1
+  UNION ALL
+  SELECT DISTINCT 'prefix', host || '/' || segs[1], [0, 90, 150] FROM u
+  WHERE host IS NOT NULL AND len(segs) > 0
+    AND CAST('0x' || substr(md5('p:' || host || '/' || segs[1]), 1, 6) AS INT) % 3 = 0),
+e AS (
+  SELECT kind, pattern, DATE '2024-01-01' + CAST(CAST('0x' || substr(md5(kind || ':' || pattern), 1, 6) AS INT) % 300 AS INT) + s AS listed_on,
+         CASE WHEN s IN (0, 150) THEN 'add' ELSE 'remove' END AS action
+  FROM (SELECT kind, pattern, unnest(steps) AS s FROM raw)),
+hits AS (
+  SELECT u.page_id, k.kind, k.pattern, e.listed_on, k.rank
+  FROM u, LATERAL (
+    SELECT 'host' AS kind, u.host AS pattern, 1000 AS rank
+    UNION ALL
+    SELECT 'domain', array_to_string(string_split(u.host, '.')[i:], '.'), len(string_split(u.host, '.')) - i + 1
+    FROM range(1, 20) r(i) WHERE i <= len(string_split(u.host, '.'))
+    UNION ALL
+    SELECT 'prefix', u.host || '/' || array_to_string(u.segs[1:i], '/'), 2000 + i FROM range(1, 4) r(i) WHERE i <= len(u.segs)) k
+  JOIN e ON e.kind = k.kind AND e.pattern = k.pattern AND e.action = 'add' AND e.listed_on <= u.fetched_on
+  WHERE NOT EXISTS (SELECT 1 FROM e x WHERE x.kind = e.kind AND x.pattern = e.pattern
+                    AND x.listed_on > e.listed_on AND x.listed_on <= u.fetched_on)),
+best AS (SELECT page_id, max(row(rank, kind, pattern, listed_on)) AS b, count(*) AS n_rules FROM hits GROUP BY page_id)
+SELECT u.page_id, u.url, u.fetched_on, b IS NOT NULL AS blocked, b[2] AS kind, b[3] AS pattern, b[4] AS valid_from,
+       coalesce(n_rules, 0) AS n_rules
+FROM u LEFT JOIN best USING (page_id)""",
 }
 
 
