@@ -55,7 +55,7 @@ def targets(rows: DataFrame, weights=WEIGHTS, factor: float = FACTOR, cap: int =
     everything = Window.partitionBy()
     weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.pmod(F.row_number().over(by_source) - 1,
                                                                          F.lit(len(weights))) + 1).cast("int"))
-    per = (rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("source_rows"))
+    per = (rows.groupBy("source").agg(F.sum("size").alias("source_size"))
            .withColumn("weight", weight).withColumn("ratio", F.col("source_size") * cap / F.col("weight"))
            .withColumn("total", F.sum("source_size").over(everything) * F.lit(factor))
            .withColumn("spent", F.coalesce(F.sum(F.col("source_size") * cap).over(before), F.lit(0)))
@@ -70,7 +70,7 @@ def targets(rows: DataFrame, weights=WEIGHTS, factor: float = FACTOR, cap: int =
            .withColumn("blocks", F.ceil(F.col("source_size") / block_words))
            .withColumn("slots", F.col("whole") * F.col("blocks") + F.ceil(rest / block_words)))
     first = F.coalesce(F.sum("slots").over(by_source.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return per.select("source", source_key().alias("skey"), "source_size", "source_rows", "target", "quota", "blocks",
+    return per.select("source", source_key().alias("skey"), "source_size", "target", "quota", "blocks",
                       "slots", first.alias("first_point"), F.sum("slots").over(everything).alias("n_slots"))
 
 
@@ -80,17 +80,19 @@ def source_key() -> Column:
 
 
 def placed(rows: DataFrame, per_source: DataFrame) -> DataFrame:
-    """Each document's first word position in its source's shuffled stream."""
-    stats = per_source.select("skey", "source_size", "target", "quota", "blocks", F.greatest(
-        F.lit(0), F.ceil(F.log2(F.col("source_rows") / ROWS_PER_BUCKET))).cast("int").alias("bits"))
-    d = (rows.withColumn("skey", source_key()).join(stats, "skey")
-         .withColumn("bucket", F.expr("shiftright(h, 32 - bits)")))
+    """Each document's first word position in its source's shuffled stream.
+
+    Buckets are ranges of the shuffle key, so many that one holds about ``ROWS_PER_BUCKET`` rows
+    even if all rows are of one source; the windows run per (source, bucket)."""
+    bits = max(0, min(32, (max(rows.count(), 1) // ROWS_PER_BUCKET).bit_length()))
+    d = rows.select("*", source_key().alias("skey"), F.shiftright("h", 32 - bits).alias("bucket"))
     inside = Window.partitionBy("skey", "bucket").orderBy("h", "doc_id", "size")
     earlier = Window.partitionBy("skey").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = d.groupBy("skey", "bucket").agg(F.sum("size").alias("n")).select(
         "skey", "bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
     return (d.withColumn("upto", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
             .join(sums, ["skey", "bucket"])
+            .join(per_source.select("skey", "source_size", "target", "quota", "blocks"), "skey")
             .select("doc_id", "source", "skey", "size", "source_size", "target", "quota", "blocks",
                     (F.col("base") + F.col("upto") - F.col("size")).alias("start")))
 
