@@ -40,7 +40,7 @@ def token_table(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id",
         encoder, part, local = tokens.load(path), TaskContext.get().partitionId(), 0
         for batch in batches:
             for lo, hi in tokens.slices(batch.column(1)):
-                ids = encoder.encode(batch.column(1).slice(lo, hi - lo).to_pylist(), end_id)
+                ids = encoder.encode(batch.column(1).slice(lo, hi - lo), end_id)
                 n = np.array([len(x) for x in ids], np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(n), part, np.int32)), pa.array(local + np.cumsum(n) - n),

@@ -1,10 +1,11 @@
 """Token ids of whole texts, inside Spark tasks.
 
-The tokenizers library encodes; this module only spares it repeated work. A text is cut where a
-cut cannot change the result (between white space and what the tokenizer's own pre-tokenizer
-separates anyway), each distinct chunk is encoded once per Python worker, and the documents'
-ids are gathered with numpy. Chunks outside printable ASCII and Latin-1, and texts whose blanks
-do not allow cuts, go to the library whole. The cache is bounded and only a matter of speed.
+The tokenizers library encodes; this module spares it repeated work. Texts are cut where a cut
+cannot change the result (at blanks), Arrow finds the distinct words of a slice of rows, a word
+of letters and trailing signs falls apart into its two pre-tokens, and each distinct pre-token is
+handed to the vocabulary's model once per Python worker. numpy then gathers the documents' ids.
+Other words are pre-tokenized one by one or encoded by the library; texts whose blanks do not
+allow cuts are encoded whole. The cache is bounded and only a matter of speed.
 """
 
 from __future__ import annotations
@@ -12,20 +13,29 @@ from __future__ import annotations
 import numpy as np
 import regex
 
-MAX_CHUNKS = 150_000
-MAX_PARTS = 300_000
+MAX_PARTS = 700_000
 
 #: How the two supported kinds of vocabulary file pre-tokenize (fixed by the files).
 WORD_PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 BYTE_PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-PLAIN_WORD = regex.compile(r"[!-~¡-ÿ]+")
-PLAIN_BYTE = regex.compile(r" ?[!-~¡-ÿ\n]+")
-SEPARATORS = regex.compile(r"[\x1c-\x1f]")          # Python splits at them, the tokenizer does not
-ADJACENT_BLANKS = regex.compile(r" \s|\s ")
+PLAIN = regex.compile(r"[!-~¡-ÿ]+")
+#: Letters, then signs (no apostrophe, no digit): exactly two pre-tokens in either kind.
+TWO_PARTS = r"^(?P<core>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<signs>[!-&(-/:-@\[-`{-~]*)$"
 
 _loaded: dict = {}
 
 
+def byte_letters() -> dict[int, str]:
+    """The printable letter that byte-level vocabularies write for each byte (fixed rule:
+    printable Latin-1 stands for itself, the rest follows from code point 256 on)."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {**{b: chr(b) for b in own}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
+
+
+LETTERS = byte_letters()
+
+
 def load(path: str) -> "Encoder":
     """The worker's encoder for a vocabulary file (one per process)."""
     if path not in _loaded:
@@ -33,6 +43,26 @@ def load(path: str) -> "Encoder":
     return _loaded[path]
 
 
+class Runs:
+    """Id runs put one after another; a run is known by its number."""
+
+    def __init__(self, dtype):
+        self.data, self.sizes, self.item = [], [], dtype.itemsize
+
+    def add(self, ids: bytes) -> int:
+        self.data.append(ids)
+        self.sizes.append(len(ids) // self.item)
+        return len(self.sizes) - 1
+
+    def gather(self, which: np.ndarray, dtype) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the runs in that order, running total of their sizes)."""
+        size, flat = np.array(self.sizes, np.int64), np.frombuffer(b"".join(self.data), dtype)
+        first, n = np.cumsum(size) - size, size[which]
+        upto = np.cumsum(n)
+        total = int(upto[-1]) if len(upto) else 0
+        return flat[np.repeat(first[which] - upto + n, n) + np.arange(total)], upto
+
+
 class Encoder:
     def __init__(self, path: str):
         import os
@@ -43,100 +73,105 @@ class Encoder:
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.size = max(vocab.values()) + 1
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        ends = [i for token, i in vocab.items() if token.endswith("</w>")]
-        self.word_ends = np.zeros(self.size, bool)
-        self.word_ends[ends] = True
-        self.by_word = bool(ends)
-        self.newline = None if self.by_word else self.whole("\n")[0]
-        self.reset()
-
-    def reset(self) -> None:
-        self.chunks: dict[str, int] = {"": 0}
-        self.at, self.len = [0], [0]
-        self.flat = bytearray()
-        self.frozen = (np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(0, self.dtype))
+        self.by_word = any(token.endswith("</w>") for token in vocab)
         self.parts: dict[str, bytes] = {}
 
-    def whole(self, text: str) -> list[int]:
-        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
-
-    def pieces(self, text: str) -> list[str] | None:
-        """Chunks whose ids, put together, are the text's; None if there is no safe cut."""
-        if self.by_word:
-            return None if SEPARATORS.search(text) else text.split()
-        if ADJACENT_BLANKS.search(text):
-            return None
-        first, *rest = text.split(" ")
-        return [first, *[" " + x for x in rest]]
-
-    def learn_parts(self, parts: list[str]) -> None:
-        """Encode distinct pre-tokens, many to a call."""
-        join = " " if self.by_word else "\n"
-        for i in range(0, len(parts), 500):
-            group = parts[i:i + 500]
-            ids = np.array(self.whole(join.join(group)), dtype=self.dtype)
-            if self.by_word:
-                cuts = np.flatnonzero(self.word_ends[ids]) + 1
-                runs = np.split(ids, cuts)[:-1] if len(cuts) and cuts[-1] == len(ids) else []
-            else:
-                cuts = np.flatnonzero(ids == self.newline)
-                runs = [r[1:] if k else r for k, r in enumerate(np.split(ids, cuts))]
-            if len(runs) != len(group):
-                runs = [np.array(self.whole(x), dtype=self.dtype) for x in group]
-            self.parts.update((x, r.tobytes()) for x, r in zip(group, runs))
-
-    def learn(self, new: set[str]) -> None:
-        """Add chunks to the cache."""
-        plain_re, part_re = (PLAIN_WORD, WORD_PARTS) if self.by_word else (PLAIN_BYTE, BYTE_PARTS)
-        split, odd = {}, []
-        for chunk in new:
-            if plain_re.fullmatch(chunk) and "<|" not in chunk:
-                split[chunk] = part_re.findall(chunk.lower() if self.by_word else chunk)
-            else:
-                odd.append(chunk)
+    def whole(self, text: str) -> bytes:
+        ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        return np.array(ids, self.dtype).tobytes()
+
+    def part(self, text: str) -> bytes:
+        """Ids of one pre-token."""
+        known = self.parts.get(text)
+        if known is None:
+            letters = text.encode().decode("latin-1").translate(LETTERS)
+            known = np.array([t.id for t in self.tokenizer.model.tokenize(letters)], self.dtype).tobytes()
+            self.parts[text] = known
+        return known
+
+    def other(self, word: str, lead: str) -> bytes:
+        """Ids of a word that is not of the two-part shape."""
+        if not PLAIN.fullmatch(word) or "<|" in word:
+            return self.whole(lead + word)
+        parts = WORD_PARTS.findall(word.lower()) if self.by_word else BYTE_PARTS.findall(lead + word)
+        return b"".join([self.part(p) for p in parts])
+
+    def word_runs(self, words, lead: str, runs: Runs) -> np.ndarray:
+        """Two run numbers for each of the distinct words (the second may be an empty run)."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
         if len(self.parts) > MAX_PARTS:
             self.parts = {}
-        unknown = {p for ps in split.values() for p in ps} - self.parts.keys()
-        alone = [p for p in unknown if p.isspace()]
-        self.parts.update((p, np.array(self.whole(p), dtype=self.dtype).tobytes()) for p in alone)
-        self.learn_parts([p for p in unknown if not p.isspace()])
-        parts = self.parts
-        found = [(c, b"".join([parts[p] for p in ps])) for c, ps in split.items()]
-        if odd:
-            encoded = self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)
-            found += [(c, np.array(e.ids, dtype=self.dtype).tobytes()) for c, e in zip(odd, encoded)]
-        for chunk, ids in found:
-            self.chunks[chunk] = len(self.at)
-            self.at.append(len(self.flat) // self.dtype.itemsize)
-            self.len.append(len(ids) // self.dtype.itemsize)
-            self.flat += ids
-        self.frozen = (np.array(self.at, np.int64), np.array(self.len, np.int64),
-                       np.frombuffer(bytes(self.flat), self.dtype))
-
-    def encode(self, texts: list, end_id: int | None = None) -> list[np.ndarray]:
-        """Ids of each text (None: no text), with ``end_id`` appended."""
-        tail = np.array([] if end_id is None else [end_id], dtype=self.dtype)
-        cut = [self.pieces(t or "") for t in texts]
-        if len(self.chunks) > MAX_CHUNKS:
-            self.reset()
-        new = set().union(*[c for c in cut if c is not None]) - self.chunks.keys()
-        if new:
-            self.learn(new)
-        at, size, flat = self.frozen
-        known, out = self.chunks, []
-        for text, chunk in zip(texts, cut):
-            if chunk is None:
-                ids = np.array(self.whole(text), dtype=self.dtype)
-            else:
-                which = np.array([known[c] for c in chunk], np.int64)
-                n = size[which]
-                upto = np.cumsum(n)
-                ids = flat[np.repeat(at[which] - upto + n, n) + np.arange(upto[-1] if len(upto) else 0)]
-            out.append(np.concatenate([ids, tail]))
+        out = np.full((len(words), 2), runs.add(b""), np.int64)
+        split = pc.extract_regex(words, TWO_PARTS)
+        plain = pc.is_valid(split).to_numpy(zero_copy_only=False)
+        core, signs = split.field(0), split.field(1)
+        for column, values, before in ((0, pc.utf8_lower(core) if self.by_word else core, lead), (1, signs, "")):
+            values = pc.dictionary_encode(pc.if_else(pc.is_valid(split), values, pa.scalar(None, pa.string())))
+            numbers = np.array([runs.add(self.part(before + v) if v else b"") for v in values.dictionary.to_pylist()], np.int64)
+            at = values.indices.fill_null(0).to_numpy(zero_copy_only=False)
+            if len(numbers):
+                out[plain, column] = numbers[at[plain]]
+        rest = np.flatnonzero(~plain)
+        out[rest, 0] = [runs.add(self.other(w, lead)) for w in words.take(pa.array(rest)).to_pylist()]
         return out
 
+    def encode(self, texts, end_id: int | None = None) -> list[np.ndarray]:
+        """Ids of each text of an Arrow column or a list (None: no text), ``end_id`` appended."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        texts = pc.fill_null((texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())).cast(pa.string()), "")
+        cut = self._by_word if self.by_word else self._by_line
+        ids, upto, odd = cut(texts, pc)
+        tail = np.array([] if end_id is None else [end_id], dtype=self.dtype)
+        out = [np.concatenate([ids[a:b], tail]) for a, b in zip(upto, upto[1:])]
+        for i in odd:
+            out[i] = np.concatenate([np.frombuffer(self.whole(texts[i].as_py()), self.dtype), tail])
+        return out
 
-def slices(texts, limit: int = 4_000_000):
+    def _by_word(self, texts, pc):
+        words = pc.ascii_split_whitespace(texts)
+        first = words.offsets.to_numpy()
+        coded = pc.dictionary_encode(words.values.slice(first[0], first[-1] - first[0]))
+        runs = Runs(self.dtype)
+        numbers = self.word_runs(coded.dictionary, "", runs)
+        ids, upto = runs.gather(numbers[coded.indices.to_numpy()].ravel(), self.dtype)
+        return ids, np.concatenate([[0], upto])[2 * (first - first[0])], []
+
+    def _by_line(self, texts, pc):
+        lines = pc.split_pattern(texts, "\n")
+        line_at = lines.offsets.to_numpy() - lines.offsets[0].as_py()
+        words = pc.split_pattern(lines.flatten(), " ")
+        word_at = words.offsets.to_numpy() - words.offsets[0].as_py()
+        coded = pc.dictionary_encode(words.flatten())
+        which = coded.indices.to_numpy().astype(np.int64)
+        # a cut is safe unless a word is empty (two blanks in a row) or has a blank at an edge
+        distinct = coded.dictionary.to_pylist()
+        blank = np.array([not w or w[0].isspace() or w[-1].isspace() for w in distinct], bool)
+        starts = np.concatenate([[0], np.cumsum(blank[which])])
+        doc_at = word_at[line_at]
+        odd = np.flatnonzero(starts[doc_at[1:]] > starts[doc_at[:-1]])
+        runs = Runs(self.dtype)
+        spaced = self.word_runs(coded.dictionary, " ", runs)
+        heads = word_at[:-1]                                    # first word of each line: no space before it
+        head = pc.dictionary_encode(coded.take(_array(heads)).cast("string"))
+        bare = self.word_runs(head.dictionary, "", runs)
+        three = np.full((len(which), 3), runs.add(b""), np.int64)
+        three[:, 1:] = spaced[which]
+        three[heads, 1:] = bare[head.indices.to_numpy()]
+        later = np.ones(len(heads), bool)
+        later[line_at[:-1]] = False                             # a line but a text's first follows a line break
+        three[heads[later], 0] = runs.add(self.whole("\n"))
+        ids, upto = runs.gather(three.ravel(), self.dtype)
+        return ids, np.concatenate([[0], upto])[3 * doc_at], odd.tolist()
+
+
+def _array(x):
+    import pyarrow as pa
+    return pa.array(x)
+
+
+def slices(texts, limit: int = 8_000_000):
     """(from, to) row ranges of an Arrow string column with about ``limit`` bytes each."""
     import pyarrow.compute as pc
     sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
