@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ans, exact_dedup, jaccard_join, mixing, packing, quality, url_lists
+from . import ans, exact_dedup, jaccard_join, mixing, packing, quality, substring_dedup, url_lists
 from .common import read_table
 
 
@@ -56,6 +56,13 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "offset")
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that a smaller document's 13-word windows repeat."""
+    cut = substring_dedup.repeats(read_table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["to"] - s["from"])
+    return cut.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op2_source_mix": op2_source_mix,
     "op4_jaccard_join": op4_jaccard_join,
@@ -64,6 +71,7 @@ QUERIES = {
     "op7_exact_dedup": op7_exact_dedup,
     "op8_url_lists": op8_url_lists,
     "op9_packing": op9_packing,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLE = {
