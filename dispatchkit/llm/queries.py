@@ -5,10 +5,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ans, exact_dedup, jaccard_join, mixing, packing, quality, substring_dedup, url_lists
+from . import ans, exact_dedup, jaccard_join, licenses, mixing, packing, quality, substring_dedup, url_lists
 from .common import read_table
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence family of every document."""
+    return licenses.license_scan(read_table(spark, sf_dir, "documents"))
+
+
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix by source weights takes of every document."""
     docs = read_table(spark, sf_dir, "documents")
@@ -64,6 +69,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_source_mix": op2_source_mix,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_quality_classifier": op5_quality_classifier,
