@@ -109,8 +109,12 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def sample(described: DataFrame, labels: DataFrame, label_col: str = "quality", max_rows: int = MAX_ROWS):
     """Labelled feature rows for training, at most ``max_rows``: (X, y)."""
     lab = labels.select(F.col("doc_id").alias("_label_id"), F.col(label_col).cast("int").alias("y")).filter("y is not null")
-    rows = (described.filter(~held_out(F.col("doc_id"))).join(lab, F.col("doc_id") == F.col("_label_id"))
-            .select("doc_id", "x", "y").orderBy(F.xxhash64("doc_id"), "doc_id", "y", "x").limit(max_rows).collect())
+    rows = described.filter(~held_out(F.col("doc_id"))).join(lab, F.col("doc_id") == F.col("_label_id")).select("doc_id", "x", "y")
+    # a share of the id hashes that holds a few rows more than wanted, so that the driver gets no more
+    cells = 1 << 30
+    share = min(1.0, 1.1 * max_rows / max(1, rows.count()) + 1e-6)
+    few = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(cells)) < int(share * cells))
+    rows = few.orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(cells)), "doc_id", "y", "x").limit(max_rows).collect()
     return np.array([r["x"] for r in rows]).reshape(-1, len(FEATURES)), np.array([r["y"] for r in rows], float)
 
 
@@ -212,8 +216,8 @@ def trained(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
             label_col: str = "quality", max_rows: int = MAX_ROWS) -> dict:
     """Model from the labelled rows of ``docs`` that are not held out."""
     wanted = labels.filter(F.col(label_col).isNotNull()).select(F.col("doc_id").alias("_id")).distinct()
-    return fit(*sample(features(docs, id_col, text_col).join(wanted, F.col("doc_id") == F.col("_id"), "left_semi"),
-                       labels, label_col, max_rows))
+    described = materialize(features(docs, id_col, text_col), "quality-features")
+    return fit(*sample(described.join(wanted, F.col("doc_id") == F.col("_id"), "left_semi"), labels, label_col, max_rows))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
