@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ans, exact_dedup, jaccard_join, licenses, mixing, packing, quality, substring_dedup, url_lists
+from . import ans, exact_dedup, fingerprints, jaccard_join, licenses, mixing, packing, quality, substring_dedup, url_lists
 from .common import read_table
 
 
@@ -20,6 +20,17 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint digests of every text and its edited text, and how alike they are."""
+    f = fingerprints.edited_fingerprints(read_table(spark, sf_dir, "documents"))
+
+    def digest(numbers):
+        return F.sha2(F.array_join(F.col(numbers).cast("array<string>"), ","), 256)
+
+    return f.select("doc_id", "n_chars", "edited_sha256", digest("numbers").alias("fingerprint"),
+                    digest("edited_numbers").alias("edited_fingerprint"), "near_edited", "near_next")
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and near-duplicate component of every document."""
     return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"))
@@ -71,6 +82,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_source_mix": op2_source_mix,
+    "op3_fingerprints": op3_fingerprints,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_token_files": op6_token_files,
