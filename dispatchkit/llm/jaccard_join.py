@@ -119,10 +119,12 @@ def code_sets(column, classes: np.ndarray, k: int):
 
 
 def signatures(docs: DataFrame, classes: np.ndarray, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
-    """Stored table: id, n, cls and, for a class's first document in each scan task, its prefix."""
+    """Stored table: id, n, cls and, for a class's first document in each scan task, its prefix and
+    the counts of its suffix codes per cell."""
     import pyarrow as pa
     schema = StructType([StructField("id", docs.schema[id_col].dataType), StructField("n", LongType()),
-                         StructField("cls", LongType()), StructField("prefix", BinaryType())])
+                         StructField("cls", LongType()), StructField("prefix", BinaryType()),
+                         StructField("cells", BinaryType())])
 
     def sign(batches):
         from .tokens import slices
@@ -131,14 +133,17 @@ def signatures(docs: DataFrame, classes: np.ndarray, id_col: str, text_col: str,
             for lo, hi in slices(batch.column(1)):
                 sets = code_sets(batch.column(1).slice(lo, hi - lo), classes, k)
                 cls = [set_hash(s) for s in sets]
-                prefix = []
+                prefix, cells = [], []
                 for s, c in zip(sets, cls):
-                    new = len(s) > 0 and c not in seen
+                    new, cut = len(s) > 0 and c not in seen, prefix_size(len(s), percent)
                     seen.add(c)
-                    prefix.append(s[:prefix_size(len(s), percent)].tobytes() if new else None)
+                    prefix.append(s[:cut].tobytes() if new else None)
+                    cells.append(np.bincount((s[cut:] & HASH) % np.uint64(CELLS), minlength=CELLS)
+                                 .astype("<u4").tobytes() if new else None)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array(cls, pa.int64()), pa.array(prefix, pa.binary())], names=schema.names)
+                     pa.array(cls, pa.int64()), pa.array(prefix, pa.binary()), pa.array(cells, pa.binary())],
+                    names=schema.names)
 
     rows = docs.select(F.col(id_col), F.col(text_col).cast("string"))
     return materialize(rows.mapInArrow(sign, schema), "jaccard-signatures")
@@ -164,11 +169,11 @@ def prefix_lists(signed: DataFrame, percent: int) -> DataFrame:
 
     def lists(batches):
         held = np.zeros((3, 0), np.int64)       # the open list's last row, once it is known whether it has company
-        pivot, shown = None, False
+        pivot, shown, head = None, False, None
 
         def sweep(rows, final):
             """Rows of lists of two or more; the last row waits for what follows it."""
-            nonlocal held, pivot, shown
+            nonlocal held, pivot, shown, head
             if not rows.shape[1]:
                 return None
             keep = np.ones(rows.shape[1], bool)
@@ -184,7 +189,13 @@ def prefix_lists(signed: DataFrame, percent: int) -> DataFrame:
             out = []
             for i in np.flatnonzero(company[:last]).tolist():
                 code, cls, n_pos = (int(x) for x in rows[:, i])
-                n = n_pos >> 24
+                n, pos = n_pos >> 24, n_pos & 0xFFFFFF
+                if head is None or head[0] != code:
+                    head = (code, n)
+                # the best partner is as small as the list and the length filter allow
+                partner = max(head[1], -(-percent * n // 100))
+                if (100 + percent) * (n - pos) < percent * (n + partner):
+                    continue
                 if pivot is None or pivot[0] != code or 100 * (pivot[2] >> 24) < percent * n:
                     pivot = (code, cls, n_pos)
                 out.append((code, cls, n_pos, pivot[1], pivot[2]))
@@ -217,34 +228,33 @@ def needed_overlap(a, b, percent: int):
     return F.expr(f"({percent} * ({a} + {b}) + {100 + percent - 1}) div {100 + percent}")
 
 
-def class_sets(docs: DataFrame, signed: DataFrame, lists: DataFrame, classes: np.ndarray, id_col: str, text_col: str,
-               k: int, percent: int) -> DataFrame:
-    """Stored table of the listed classes: cls, n, codes, and counts of suffix codes per cell."""
+def class_table(signed: DataFrame) -> DataFrame:
+    """Stored table, one row per non-empty class: cls, n, cells and the id of one of its documents."""
+    return materialize(signed.filter("prefix is not null").groupBy("cls").agg(
+        F.first("n").alias("n"), F.first("cells").alias("cells"), F.min(F.struct("id")).getField("id").alias("id")),
+        "jaccard-classes")
+
+
+def class_sets(docs: DataFrame, wanted: DataFrame, codes: np.ndarray, id_col: str, text_col: str, k: int) -> DataFrame:
+    """Stored table (cls, codes) of the classes in ``wanted`` (cls, id), from their documents' texts.
+    Where an id repeats, a class may appear twice or an unwanted one too, which does no harm."""
     import pyarrow as pa
 
     def fill(batches):
         from .tokens import slices
         for batch in batches:
             for lo, hi in slices(batch.column(0)):
-                sets = code_sets(batch.column(0).slice(lo, hi - lo), classes, k)
-                cells = [np.bincount((s[prefix_size(len(s), percent):] & HASH) % np.uint64(CELLS), minlength=CELLS)
-                         .astype("<u4").tobytes() for s in sets]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([set_hash(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(cells, pa.binary())],
-                    names=["cls", "n", "codes", "cells"])
+                sets = code_sets(batch.column(0).slice(lo, hi - lo), codes, k)
+                yield pa.RecordBatch.from_arrays([pa.array([set_hash(s) for s in sets], pa.int64()),
+                                                  pa.array([s.tobytes() for s in sets], pa.binary())], names=["cls", "codes"])
 
-    listed = lists.select("cls").distinct()
-    ids = signed.filter("prefix is not null").join(listed, "cls", "left_semi").groupBy("cls").agg(
-        F.min(F.struct("id")).getField("id").alias("id"))
     text = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text"))
-    chosen = text.join(ids, F.col("_id").eqNullSafe(F.col("id")), "left_semi").select("text")
-    return materialize(chosen.mapInArrow(fill, "cls long, n long, codes binary, cells binary").dropDuplicates(["cls"]),
-                       "jaccard-sets")
+    chosen = text.join(wanted, F.col("_id").eqNullSafe(F.col("id")), "left_semi").select("text")
+    return materialize(chosen.mapInArrow(fill, "cls long, codes binary"), "jaccard-sets")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link: suffix filter on the cells, then one exact count per pair."""
+def suffix_filtered(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose overlap the counts of suffix codes do not rule out."""
     import pyarrow as pa
 
     def suffix(batches):
@@ -257,6 +267,17 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             ok = (100 + percent) * most >= percent * (na + nb)
             yield pa.RecordBatch.from_arrays([pa.array(a[ok]), pa.array(b[ok])], names=["a", "b"])
 
+    def side(x):
+        return classes.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("cells").alias(f"cells_{x}"))
+
+    return (pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "cells_a", "cells_b")
+            .mapInArrow(suffix, "a long, b long"))
+
+
+def exactly_linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that link, by one count of common codes per pair."""
+    import pyarrow as pa
+
     def exact(batches):
         for batch in batches:
             if not batch.num_rows:
@@ -272,13 +293,11 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 ok[i] = (100 + percent) * common >= percent * (len(x) + len(y))
             yield pa.RecordBatch.from_arrays([pa.array(a[ok]), pa.array(b[ok])], names=["a", "b"])
 
-    def side(x, *cols):
-        return sets.select(F.col("cls").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in cols])
+    def side(x):
+        return sets.select(F.col("cls").alias(x), F.col("codes").alias(f"codes_{x}"))
 
-    near = (pairs.join(side("a", "n", "cells"), "a").join(side("b", "n", "cells"), "b")
-            .select("a", "b", "n_a", "n_b", "cells_a", "cells_b").mapInArrow(suffix, "a long, b long"))
-    return (near.join(side("a", "codes"), "a").join(side("b", "codes"), "b")
-            .select("a", "b", "codes_a", "codes_b").mapInArrow(exact, "a long, b long"))
+    return (pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "codes_a", "codes_b")
+            .mapInArrow(exact, "a long, b long"))
 
 
 def pivot_pairs(lists: DataFrame, percent: int) -> DataFrame:
@@ -306,25 +325,33 @@ class JaccardJoin:
 
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = WORDS,
                  percent: int = PERCENT):
-        self.percent = percent
-        classes = frequency_classes(docs, text_col, k)
-        self.signed = signatures(docs, classes, id_col, text_col, k, percent)
+        self.docs, self.id_col, self.text_col, self.k, self.percent = docs, id_col, text_col, k, percent
+        self.frequencies = frequency_classes(docs, text_col, k)
+        self.signed = signatures(docs, self.frequencies, id_col, text_col, k, percent)
         self.lists = prefix_lists(self.signed, percent)
-        self.sets = class_sets(docs, self.signed, self.lists, classes, id_col, text_col, k, percent)
+        self.classes = class_table(self.signed)
+
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """Stored links among the pairs: suffix filter first, then the sets of what is left."""
+        near = materialize(suffix_filtered(pairs, self.classes, self.percent), "jaccard-near")
+        members = near.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+        wanted = self.classes.join(members, "cls", "left_semi").select("id")
+        sets = class_sets(self.docs, wanted, self.frequencies, self.id_col, self.text_col, self.k)
+        return materialize(exactly_linked(near, sets, self.percent).distinct(), "jaccard-links")
 
     def links(self) -> DataFrame:
         """Every link between different sets, as pairs of classes (see ``signed`` for members)."""
-        return verified(member_pairs(self.lists, self.percent, across=False), self.sets, self.percent)
+        return self.verified(member_pairs(self.lists, self.percent, across=False))
 
     def roots(self) -> DataFrame:
         """(cls, root) of every class that links with another."""
-        first = materialize(verified(pivot_pairs(self.lists, self.percent), self.sets, self.percent), "jaccard-links")
+        first = self.verified(pivot_pairs(self.lists, self.percent))
         part = connected(first)
         labelled = self.lists.join(part, F.col("cls") == F.col("node"), "left").select(
             "code", "cls", "n", "pos", F.coalesce("root", "cls").alias("comp"))
         open_codes = labelled.groupBy("code").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
         open_lists = materialize(labelled.join(open_codes.select("code"), "code", "left_semi"), "jaccard-open")
-        second = verified(member_pairs(open_lists, self.percent, across=True), self.sets, self.percent)
+        second = self.verified(member_pairs(open_lists, self.percent, across=True))
         names = open_lists.select(F.col("cls").alias("c"), F.col("comp").alias("r")).distinct()
         bridges = materialize(second.join(names.withColumnRenamed("r", "u"), F.col("a") == F.col("c")).drop("c")
                               .join(names.withColumnRenamed("r", "v"), F.col("b") == F.col("c"))
