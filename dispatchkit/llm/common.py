@@ -30,3 +30,10 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None,
 def word_count(text) -> Column:
     """Number of words (NULL text: 0)."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def whole_rows(docs: DataFrame, **keys: Column) -> DataFrame:
+    """The keys beside each whole input row as one struct ``_row``, so that no name of the input
+    can clash with a key's."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+                       *[c.alias(k) for k, c in keys.items()])

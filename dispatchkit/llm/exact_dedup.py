@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import BLANKS
+from .common import BLANKS, whole_rows
 
 SALTS = 64
 
@@ -52,8 +52,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: one per distinct text."""
     keep = exact_dedup(docs, id_col, text_col, salts).filter("kept").select(
-        F.col(id_col).alias("_keep_id"), F.col("text_sha256").alias("_keep_sha"))
-    rows = docs.withColumn("_sha", F.sha2(normalised(F.col(text_col)), 256))
-    again = Window.partitionBy("_sha", id_col).orderBy(id_col)
-    kept = rows.join(keep, (F.col("_sha") == F.col("_keep_sha")) & F.col(id_col).eqNullSafe(F.col("_keep_id")), "left_semi")
-    return kept.withColumn("_nth", F.row_number().over(again)).filter("_nth = 1").select(*docs.columns)
+        F.col(id_col).alias("keep_id"), F.col("text_sha256").alias("keep_sha"))
+    rows = whole_rows(docs, id=F.col(id_col), sha=F.sha2(normalised(F.col(text_col)), 256))
+    kept = rows.join(keep, (F.col("sha") == F.col("keep_sha")) & F.col("id").eqNullSafe(F.col("keep_id")), "left_semi")
+    nth = F.row_number().over(Window.partitionBy("sha", "id").orderBy("id"))
+    return kept.withColumn("nth", nth).filter("nth = 1").select("_row.*")

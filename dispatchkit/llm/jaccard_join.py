@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from .common import materialize
+from .common import materialize, whole_rows
 from .components import connected
 
 WORDS = 5
@@ -386,6 +386,8 @@ def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                       percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` whose id is their component's, with all their columns. Rows without an
     id, and documents without words, stay."""
-    keep = jaccard_components(docs, id_col, text_col, k, percent).filter(
-        F.col(id_col).eqNullSafe(F.col("component_id")) | F.col(id_col).isNull()).select(F.col(id_col).alias("_keep")).distinct()
-    return docs.join(keep, F.col(id_col).eqNullSafe(F.col("_keep")), "left_semi").select(*docs.columns)
+    found = JaccardJoin(docs, id_col, text_col, k, percent).components()
+    keep = found.filter(F.col("id").eqNullSafe(F.col("component_id")) | F.col("id").isNull()).select(
+        F.col("id").alias("keep_id")).distinct()
+    return (whole_rows(docs, id=F.col(id_col)).join(keep, F.col("id").eqNullSafe(F.col("keep_id")), "left_semi")
+            .select("_row.*"))

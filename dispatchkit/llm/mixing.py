@@ -27,7 +27,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import materialize, word_count
+from .common import materialize, whole_rows, word_count
 
 WEIGHTS = (5, 2, 1)
 FACTOR = 1.5
@@ -154,7 +154,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataF
     """``docs`` as the mix uses them, whole: a row appears once for every epoch in which the
     mix takes its first word (a document that the end of the mix cuts is kept whole). A row
     whose id repeats is used as often as the row of that id the mix uses most."""
-    copies = (taken_words(docs, id_col=id_col, **options).filter("copies > 0").groupBy("doc_id")
-              .agg(F.max("copies").alias("_copies")).withColumnRenamed("doc_id", "_mix_id"))
-    return (docs.join(copies, F.col(id_col).eqNullSafe(F.col("_mix_id")))
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns))
+    copies = (taken_words(docs, id_col=id_col, **options).filter("copies > 0").groupBy(F.col("doc_id").alias("mix_id"))
+              .agg(F.max("copies").alias("copies")))
+    return (whole_rows(docs, id=F.col(id_col)).join(copies, F.col("id").eqNullSafe(F.col("mix_id")))
+            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("_row.*"))
