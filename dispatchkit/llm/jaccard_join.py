@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from .common import materialize, whole_rows
+from .common import bitmap, materialize, whole_rows
 from .components import connected
 
 WORDS = 5
@@ -235,22 +235,25 @@ def class_table(signed: DataFrame) -> DataFrame:
         "jaccard-classes")
 
 
-def class_sets(docs: DataFrame, wanted: DataFrame, codes: np.ndarray, id_col: str, text_col: str, k: int) -> DataFrame:
-    """Stored table (cls, codes) of the classes in ``wanted`` (cls, id), from their documents' texts.
-    Where an id repeats, a class may appear twice or an unwanted one too, which does no harm."""
+def class_sets(docs: DataFrame, wanted: DataFrame, frequencies: np.ndarray, id_col: str, text_col: str, k: int) -> DataFrame:
+    """Stored table (cls, codes) of the classes in ``wanted`` (cls, id). The texts stay where they
+    are: a bitmap of the wanted ids tells the scan which documents to work on, and the join on cls
+    drops those that it let through by chance. Where an id repeats, a class may appear twice."""
     import pyarrow as pa
+    bits, marks = bitmap(F.xxhash64("id"), wanted)
 
     def fill(batches):
         from .tokens import slices
+        seen = np.unpackbits(np.frombuffer(marks, np.uint8)).view(bool)
         for batch in batches:
-            for lo, hi in slices(batch.column(0)):
-                sets = code_sets(batch.column(0).slice(lo, hi - lo), codes, k)
+            batch = batch.filter(pa.array(seen[batch.column(0).to_numpy()]))
+            for lo, hi in slices(batch.column(1)):
+                sets = code_sets(batch.column(1).slice(lo, hi - lo), frequencies, k)
                 yield pa.RecordBatch.from_arrays([pa.array([set_hash(s) for s in sets], pa.int64()),
                                                   pa.array([s.tobytes() for s in sets], pa.binary())], names=["cls", "codes"])
 
-    text = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text"))
-    chosen = text.join(wanted, F.col("_id").eqNullSafe(F.col("id")), "left_semi").select("text")
-    return materialize(chosen.mapInArrow(fill, "cls long, codes binary"), "jaccard-sets")
+    rows = docs.select(F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << bits)).alias("cell"), F.col(text_col).cast("string").alias("text"))
+    return materialize(rows.mapInArrow(fill, "cls long, codes binary").join(wanted, "cls", "left_semi"), "jaccard-sets")
 
 
 def suffix_filtered(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -335,7 +338,7 @@ class JaccardJoin:
         """Stored links among the pairs: suffix filter first, then the sets of what is left."""
         near = materialize(suffix_filtered(pairs, self.classes, self.percent), "jaccard-near")
         members = near.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-        wanted = self.classes.join(members, "cls", "left_semi").select("id")
+        wanted = self.classes.join(members, "cls", "left_semi").select("cls", "id")
         sets = class_sets(self.docs, wanted, self.frequencies, self.id_col, self.text_col, self.k)
         return materialize(exactly_linked(near, sets, self.percent).distinct(), "jaccard-links")
 
