@@ -48,8 +48,9 @@ def unparseable(c) -> Column:
 
 
 def format_ts(c) -> Column:
-    """SC-3: canonical text, whole seconds (fractions are truncated)."""
-    return F.date_format(_col(c), CANONICAL_PATTERN)
+    """SC-3: canonical text, whole seconds (fractions are truncated). The text of the calendar
+    fields themselves: formatting functions would take a TIMESTAMP_NTZ through the session zone."""
+    return F.substring(_col(c).cast("string"), 1, 19)
 
 
 def add_seconds(ts, seconds) -> Column:

@@ -1,11 +1,14 @@
 """Aggregations (AG-1..7) and the order status roll-up.
 
-All of these are hash aggregates with a partial (map-side) step, so a hot key costs one
-partial row per input partition before the exchange, not one row per input row.
+All of these are aggregates with a partial (map-side) step, so a hot key costs one partial row
+per input partition before the exchange, not one row per input row. Those that keep a struct
+(the first cancelled unit) are sort aggregates, the others hash aggregates.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import functions as _  # noqa: F401  (package import order)
@@ -84,14 +87,19 @@ def all_in_status(units: DataFrame, status: str = "COMPLETED", order_key: str =
 
 
 def fulfilments_by_order(units: DataFrame, order_key: str = "order_id",
-                         unit_key: str = "fulfilment_unit_id", bucket_width: int = 4096) -> DataFrame:
+                         unit_key: str = "fulfilment_unit_id", bucket_width: int = 4096,
+                         prefix_length: int = 10) -> DataFrame:
     """AG-6: each order's units in unit order, in relational form: one row per unit with
     its 1-based position and the order's unit count. No list is collected, so an order
     key holding a large share of the units (a placeholder id) is still spread over tasks
-    (bucketed dense index, see ``ordered.dense_rank_index``)."""
+    (bucketed dense index, see ``ordered.dense_rank_index``). Buckets follow the unit order:
+    ranges of ``bucket_width`` for number ids, the first ``prefix_length`` letters for text ids."""
+    from .joins import is_number
     from .ordered import dense_rank_index
     u = units.select(order_key, unit_key)
-    r = dense_rank_index(u, order_key, [unit_key], F.floor(F.col(unit_key) / F.lit(bucket_width)), out="_pos")
+    bucket = (F.floor(F.col(unit_key) / F.lit(bucket_width)) if is_number(units, unit_key)
+              else F.substring(F.col(unit_key), 1, prefix_length))
+    r = dense_rank_index(u, order_key, [unit_key], bucket, out="_pos")
     return r.select(order_key, unit_key, (F.col("_pos") + 1).alias("position"), F.col("_pos_group_size").alias("n_units"))
 
 
@@ -121,7 +129,7 @@ def duplicate_keys(df: DataFrame, key) -> DataFrame:
     """AG-4: keys that occur more than once, with their repeat count (occurrences - 1).
     Missing keys are grouped apart and reported by the caller as "missing"."""
     keys = [key] if isinstance(key, str) else list(key)
-    return (df.filter(F.coalesce(*[F.col(k).isNotNull() for k in keys]))
+    return (df.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
             .groupBy(*keys).agg(F.count(F.lit(1)).alias("occurrences"))
             .filter(F.col("occurrences") > 1)
             .withColumn("repeats", F.col("occurrences") - 1))

@@ -37,22 +37,33 @@ def fk_orphans_multi(child: DataFrame, child_id: str, keys: dict[str, DataFrame]
     unpivoted to (child_id, kind, id) for its non-NULL keys and anti-joined once against
     the union of tagged parent ids, instead of one join per key."""
     kinds = list(keys)
+    id_t = _common_key_type([(child, k) for k in kinds] + [(p, p.columns[0]) for p in keys.values()])
     unp = child.select(F.col(child_id).alias("child_id"), F.inline(F.array(*[
-        F.struct(F.lit(k).alias("kind"), F.col(k).cast("long").alias("id")) for k in kinds])))
+        F.struct(F.lit(k).alias("kind"), F.col(k).cast(id_t).alias("id")) for k in kinds])))
     unp = unp.filter(F.col("id").isNotNull())
     parents = None
     for k, pdf in keys.items():
-        p = pdf.select(F.lit(k).alias("kind"), F.col(pdf.columns[0]).cast("long").alias("id"))
+        p = pdf.select(F.lit(k).alias("kind"), F.col(pdf.columns[0]).cast(id_t).alias("id"))
         parents = p if parents is None else parents.unionByName(p)
     return unp.join(parents, ["kind", "id"], "left_anti")
 
 
+def is_number(df: DataFrame, column: str) -> bool:
+    """Whether a key column is integral (ids may be numbers or text)."""
+    from pyspark.sql import types as T
+    return isinstance(df.schema[column].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+
+
+def id_number(df: DataFrame, column: str) -> Column:
+    """The id as a number for hashing and bucketing: itself, or 40 bits of a text id's digest."""
+    if is_number(df, column):
+        return F.col(column)
+    return F.conv(F.substring(F.md5(F.col(column)), 1, 10), 16, 10).cast("long")
+
+
 def _common_key_type(dfs_cols: list[tuple[DataFrame, str]]) -> str:
     """long when every key column is integral, else string (the union needs one type)."""
-    from pyspark.sql import types as T
-    integral = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-    ok = all(isinstance(df.schema[c].dataType, integral) for df, c in dfs_cols)
-    return "long" if ok else "string"
+    return "long" if all(is_number(df, c) for df, c in dfs_cols) else "string"
 
 
 def fk_orphans_all(tables: dict[str, DataFrame], specs: list[tuple], key_of) -> DataFrame:
@@ -91,6 +102,26 @@ def fk_orphans_all(tables: dict[str, DataFrame], specs: list[tuple], key_of) ->
                           F.col("child_id").cast("string").alias("child_id"), "id")
 
 
+def last_rows(parent: DataFrame, key: str | list[str], order: list[str], fields: list[str]) -> DataFrame:
+    """One row per key: the fields of its last row in ``order`` (NULLs first; columns that the table
+    does not have are left out, ties go to the greatest fields). A key that repeats in a parent
+    table thus never multiplies the rows that look it up."""
+    keys = [key] if isinstance(key, str) else key
+    by = [o for o in order if o in parent.columns] + [f for f in fields if f not in order]
+    last = parent.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(f) for f in fields]),
+                                              F.struct(*[F.col(o) for o in by])).alias("_last"))
+    return last.select(*keys, *[F.col("_last").getField(f).alias(f) for f in fields])
+
+
+#: Which row of a repeated key is the last one: the order of the reduction, per parent table.
+LAST_ORDER = {
+    "orders": ["created_at", "payment_success_at", "status"],
+    "fulfilment_units": ["assigned_to_store_at", "order_id", "store_id", "status"],
+    "deliveries": ["delivery_started_at", "picked_up_at", "rider_arrived_at_store", "status"],
+    "stores": ["store_name", "latitude", "longitude"],
+}
+
+
 def lookup_last_wins(child: DataFrame, parent: DataFrame, key: str, order: list[str],
                      fields: list[str], prefix: str = "") -> DataFrame:
     """JN-3: attach the parent row; with repeated parent keys the last one (greatest
@@ -103,10 +134,11 @@ def lookup_last_wins(child: DataFrame, parent: DataFrame, key: str, order: list[
 
 def lookup_strict(child: DataFrame, parent: DataFrame, key: str, fields: list[str],
                   prefix: str = "", flag: str = "lookup_found") -> DataFrame:
-    """JN-4: attach the parent; unmatched rows are kept with ``flag`` false so they can
-    be routed to violations (a distributed job must not raise on one row)."""
-    p = parent.select(F.col(key).alias("_lk"), *[F.col(f).alias(prefix + f) for f in fields],
-                      F.lit(True).alias(flag))
+    """JN-4: attach the parent (of a repeated key the greatest row); unmatched rows are kept with
+    ``flag`` false so they can be routed to violations (a distributed job must not raise on one row)."""
+    one = last_rows(parent, key, fields, fields)
+    p = one.select(F.col(key).alias("_lk"), *[F.col(f).alias(prefix + f) for f in fields],
+                   F.lit(True).alias(flag))
     j = child.join(p, child[key] == p["_lk"], "left").drop("_lk")
     return j.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
@@ -135,12 +167,9 @@ def accepted_rider_check(deliveries: DataFrame, assignments: DataFrame) -> DataF
 
 def ownership_mismatch(items: DataFrame, units: DataFrame, unit_order: list[str] | None = None) -> DataFrame:
     """JN-12: items whose order differs from their unit's order (only when the unit is
-    found). With ``unit_order`` repeated unit ids are reduced to the last one first."""
-    if unit_order:
-        u = units.groupBy("fulfilment_unit_id").agg(
-            F.max_by("order_id", F.struct(*[F.col(o) for o in unit_order])).alias("unit_order_id"))
-    else:
-        u = units.select("fulfilment_unit_id", F.col("order_id").alias("unit_order_id"))
+    found). Repeated unit ids are reduced to the last one first."""
+    u = last_rows(units, "fulfilment_unit_id", unit_order or LAST_ORDER["fulfilment_units"], ["order_id"]) \
+        .withColumnRenamed("order_id", "unit_order_id")
     j = items.join(u, "fulfilment_unit_id")
     return j.filter(~F.col("order_id").eqNullSafe(F.col("unit_order_id"))) \
         .select("order_item_id", "fulfilment_unit_id", "order_id", "unit_order_id")
@@ -151,14 +180,15 @@ IMPLIED_UNIT_STATUS = {"DELIVERED": "COMPLETED", "CANCELLED": "CANCELLED", "FAIL
 
 
 def state_mismatch(deliveries: DataFrame, units: DataFrame) -> DataFrame:
-    """JN-13: delivery status implies a unit status; report deliveries whose unit (when
-    found) is in another status (a missing unit status counts as different)."""
+    """JN-13: delivery status implies a unit status; report deliveries whose unit (when found; of
+    repeated ids the last) is in another status (a missing unit status counts as different)."""
     expected = None
     for d, u in IMPLIED_UNIT_STATUS.items():
         expected = F.when(F.col("status") == d, F.lit(u)) if expected is None else expected.when(
             F.col("status") == d, F.lit(u))
     d = deliveries.select("delivery_id", "fulfilment_unit_id", "status", expected.alias("expected_unit_status"))
-    u = units.select("fulfilment_unit_id", F.col("status").alias("unit_status"))
+    u = last_rows(units, "fulfilment_unit_id", LAST_ORDER["fulfilment_units"], ["status"]) \
+        .withColumnRenamed("status", "unit_status")
     j = d.filter(F.col("expected_unit_status").isNotNull()).join(u, "fulfilment_unit_id")
     return j.filter(~F.col("unit_status").eqNullSafe(F.col("expected_unit_status")))
 
@@ -229,8 +259,8 @@ def indexed_candidates(candidates: DataFrame, group: str, order: str, bucket_mod
     """Dense 0-based index of each candidate inside its group (ordered by
     ``(order % bucket_mod, order)``), plus the group size. The per-group window is split
     by the bucket, so a group with most candidates is still spread over tasks."""
-    return dense_rank_index(candidates, group, [F.col(order) % bucket_mod, F.col(order)],
-                            F.col(order) % bucket_mod, out="cand_idx")
+    bucket = F.pmod(id_number(candidates, order), F.lit(bucket_mod))
+    return dense_rank_index(candidates, group, [bucket, F.col(order)], bucket, out="cand_idx")
 
 
 def pick_from_groups(requests: DataFrame, request_id: str, request_group: str, indexed: DataFrame,
@@ -244,7 +274,7 @@ def pick_from_groups(requests: DataFrame, request_id: str, request_group: str, i
     n_eff = F.col("_n") - (F.when(F.col(exclude_idx).isNotNull(), 1).otherwise(0) if exclude_idx else F.lit(0))
     # groups with no eligible candidate are dropped before any modulo by their size
     r = r.withColumn("_neff", n_eff).filter(F.col("_neff").isNotNull() & (F.col("_neff") > 0))
-    r = r.withColumn("_start", F.pmod(pick_hash(F.col(request_id), seed), F.col("_neff")))
+    r = r.withColumn("_start", F.pmod(pick_hash(id_number(requests, request_id), seed), F.col("_neff")))
     r = r.withColumn("pick_no", F.explode(F.sequence(F.lit(1), F.lit(k))))
     r = r.filter(F.col("pick_no") <= F.col("_neff"))
     idx = F.pmod(F.col("_start") + F.col("pick_no") - 1, F.col("_neff"))
@@ -265,7 +295,7 @@ def pick_from_prefix(requests: DataFrame, request_id: str, group_col: str, n_col
     time t" over candidates sorted by availability)."""
     n = F.col(n_col)
     r = requests.filter(n.isNotNull() & (n > 0)) \
-        .withColumn("_start", F.pmod(pick_hash(F.col(request_id), seed), n)) \
+        .withColumn("_start", F.pmod(pick_hash(id_number(requests, request_id), seed), n)) \
         .withColumn("pick_no", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(k).cast("long"), n))))
     r = r.withColumn("_idx", F.pmod(F.col("_start") + F.col("pick_no") - 1, n))
     c = indexed.select(F.col(cand_group).alias("_cg"), F.col("cand_idx").alias("_ci"),

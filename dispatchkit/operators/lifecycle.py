@@ -15,7 +15,7 @@ from ..functions import staffing as stf
 from ..functions.geo import haversine_km
 from ..functions.timestamps import seconds_between
 from ..sources.schemas import EVENT_TYPES
-from .joins import store_hour_grid
+from .joins import LAST_ORDER, is_number, last_rows, store_hour_grid
 from .ordered import asof_latest, sequential_number
 
 EVENT_RANK = {t: i for i, t in enumerate(EVENT_TYPES)}
@@ -46,17 +46,23 @@ EVENT_COLUMNS = ["event_type", "occurred_at", "order_id", "fulfilment_unit_id",
                  "rider_id", "reason"]
 
 
+EVENT_IDS = ["order_id", "fulfilment_unit_id", "delivery_id", "store_id", "rider_id"]
+
+
 def _unpivot(df: DataFrame, stages: list[tuple[str, str]], ids: dict[str, Column], source_id: Column,
-             reasons: dict[str, Column] | None = None) -> DataFrame:
-    """One event per non-NULL stage timestamp of each row (``inline`` of an array of
-    structs: a single projection, no rescan per stage)."""
-    reasons = reasons or {}
+             types: dict[str, str], reasons: dict[str, Column] | None = None,
+             only: dict[str, dict[str, Column]] | None = None) -> DataFrame:
+    """One event per non-NULL stage timestamp of each row (``inline`` of an array of structs: a
+    single projection, no rescan per stage). ``types``: the type of each id column, kept as the
+    tables have it. ``only``: id columns that just these event types carry."""
+    reasons, only = reasons or {}, only or {}
     structs = [F.struct(F.lit(et).alias("event_type"), F.col(tc).alias("occurred_at"),
-                        (reasons.get(et, F.lit(None).cast("string"))).alias("reason"))
+                        (reasons.get(et, F.lit(None).cast("string"))).alias("reason"),
+                        *[(cols[et] if et in cols else F.lit(None)).cast(types[c]).alias(c) for c, cols in only.items()])
                for tc, et in stages]
-    idcols = [(ids[c] if c in ids else F.lit(None)).cast("long").alias(c)
-              for c in ["order_id", "fulfilment_unit_id", "delivery_id", "store_id", "rider_id"]]
-    u = df.select(*idcols, source_id.cast("long").alias("source_id"), F.inline(F.array(*structs)))
+    idcols = [(ids[c] if c in ids else F.lit(None)).cast(types[c]).alias(c) for c in EVENT_IDS if c not in only]
+    u = df.select(*idcols, source_id.cast(types["source_id"]).alias("source_id"), F.inline(F.array(*structs)))
+    u = u.select(*EVENT_IDS, "source_id", "event_type", "occurred_at", "reason")
     return u.filter(F.col("occurred_at").isNotNull())
 
 
@@ -65,26 +71,34 @@ def event_union(orders: DataFrame, units: DataFrame, deliveries: DataFrame, assi
 
     Order events carry the order; unit events add unit and store; delivery events add the
     delivery and, once assigned, the rider (DELIVERY_FAILED has none). RIDER_ASSIGNED
-    comes from accepted offers. Deliveries get order and store from their unit (lookup)."""
-    o = _unpivot(orders, ORDER_STAGES, {"order_id": F.col("order_id")}, F.col("order_id"))
+    comes from accepted offers. Deliveries get order and store from their unit (of repeated ids
+    the last). Ids keep the type of their tables; ``source_id`` is text if any of them is."""
+    types = {"order_id": orders, "fulfilment_unit_id": units, "delivery_id": deliveries, "store_id": units, "rider_id": assignments}
+    types = {c: df.schema[c].dataType.simpleString() for c, df in types.items()}
+    numbers = all(is_number(df, c) for df, c in ((orders, "order_id"), (units, "fulfilment_unit_id"),
+                                                 (deliveries, "delivery_id"), (assignments, "assignment_id")))
+    types["source_id"] = "bigint" if numbers else "string"
+    o = _unpivot(orders, ORDER_STAGES, {"order_id": F.col("order_id")}, F.col("order_id"), types)
     u = _unpivot(units, UNIT_STAGES, {"order_id": F.col("order_id"), "fulfilment_unit_id": F.col("fulfilment_unit_id"),
-                                      "store_id": F.col("store_id")}, F.col("fulfilment_unit_id"),
+                                      "store_id": F.col("store_id")}, F.col("fulfilment_unit_id"), types,
                  {"FULFILMENT_CANCELLED": F.col("cancellation_reason"), "FULFILMENT_FAILED": F.col("failure_reason")})
-    uk = units.select("fulfilment_unit_id", F.col("order_id").alias("_u_order"), F.col("store_id").alias("_u_store"))
+    uk = last_rows(units, "fulfilment_unit_id", LAST_ORDER["fulfilment_units"], ["order_id", "store_id"]).select(
+        "fulfilment_unit_id", F.col("order_id").alias("_u_order"), F.col("store_id").alias("_u_store"))
     dj = deliveries.join(uk, "fulfilment_unit_id", "left")
     dids = {"order_id": F.col("_u_order"), "fulfilment_unit_id": F.col("fulfilment_unit_id"),
             "delivery_id": F.col("delivery_id"), "store_id": F.col("_u_store")}
-    dfail = _unpivot(dj, DELIVERY_STAGES[:1], dids, F.col("delivery_id"),
-                     {"DELIVERY_FAILED": F.col("failure_reason")})
-    dmove = _unpivot(dj, DELIVERY_STAGES[1:], dict(dids, rider_id=F.col("rider_id")), F.col("delivery_id"))
+    moving = {et: F.col("rider_id") for _, et in DELIVERY_STAGES if et != "DELIVERY_FAILED"}
+    d = _unpivot(dj, DELIVERY_STAGES, dids, F.col("delivery_id"), types, {"DELIVERY_FAILED": F.col("failure_reason")},
+                 only={"rider_id": moving})
     acc = assignments.filter(F.col("response") == "ACCEPTED")
-    dk = dj.select(F.col("delivery_id").alias("_d"), "fulfilment_unit_id", "_u_order", "_u_store")
+    dk = last_rows(dj, "delivery_id", LAST_ORDER["deliveries"], ["fulfilment_unit_id", "_u_order", "_u_store"]).select(
+        F.col("delivery_id").alias("_d"), "fulfilment_unit_id", "_u_order", "_u_store")
     aj = acc.join(dk, acc.delivery_id == dk._d, "left")
     a = _unpivot(aj, [("responded_at", "RIDER_ASSIGNED")],
                  {"order_id": F.col("_u_order"), "fulfilment_unit_id": F.col("fulfilment_unit_id"),
                   "delivery_id": F.col("delivery_id"), "store_id": F.col("_u_store"), "rider_id": F.col("rider_id")},
-                 F.col("assignment_id"))
-    return reduce(DataFrame.unionByName, [o, u, dfail, dmove, a])
+                 F.col("assignment_id"), types)
+    return reduce(DataFrame.unionByName, [o, u, d, a])
 
 
 def event_rank(col: str = "event_type") -> Column:
@@ -103,8 +117,11 @@ def events_from_state(orders: DataFrame, units: DataFrame, deliveries: DataFrame
     return s.select(F.format_string(f"{prefix}%0{width}d", F.col("_seq")).alias("event_id"), *EVENT_COLUMNS)
 
 
-def _latest(events: DataFrame) -> Column:
-    return F.max_by("event_type", F.struct(F.col("occurred_at"), F.col("event_id")))
+def event_order(event_id: str = "event_id") -> Column:
+    """Time, then the number in the event id (the order of emission: ``EVT-10000000`` comes after
+    ``EVT-9999999``, which text order would not say), then the id itself."""
+    number = F.expr(f"try_cast(regexp_extract(cast({event_id} as string), '([0-9]+)$', 1) as decimal(38, 0))")
+    return F.struct(F.col("occurred_at"), number.alias("number"), F.col(event_id).alias("id"))
 
 
 def _map(col: Column, mapping: dict[str, str], default: str | None) -> Column:
@@ -117,7 +134,7 @@ def _map(col: Column, mapping: dict[str, str], default: str | None) -> Column:
 def state_from_events(events: DataFrame, level: str = "unit") -> DataFrame:
     """LC-2: latest state per unit (or delivery) from its events, in one aggregate: each
     stage timestamp is the latest event of its type, the status follows the latest event
-    by (occurred_at, event_id), the reason is the latest terminal event's reason.
+    by ``event_order``, the reason is the latest terminal event's reason.
 
     The aggregate is commutative (max / max_by), so late or reordered events give the
     same state - the property the streaming version relies on."""
@@ -131,10 +148,8 @@ def state_from_events(events: DataFrame, level: str = "unit") -> DataFrame:
     e = events.filter(F.col(key).isNotNull())
     aggs = [F.max(F.when(F.col("event_type") == et, F.col("occurred_at"))).alias(tc) for tc, et in stages]
     aggs += [F.max_by(F.when(F.col("event_type").isin(relevant), F.col("event_type")),
-                      F.when(F.col("event_type").isin(relevant), F.struct(F.col("occurred_at"), F.col("event_id"))))
-             .alias("last_event_type"),
-             F.max_by(F.col("reason"), F.when(F.col("reason").isNotNull(),
-                                               F.struct(F.col("occurred_at"), F.col("event_id")))).alias("reason"),
+                      F.when(F.col("event_type").isin(relevant), event_order())).alias("last_event_type"),
+             F.max_by(F.col("reason"), F.when(F.col("reason").isNotNull(), event_order())).alias("reason"),
              F.count(F.lit(1)).alias("n_events")]
     s = e.groupBy(key).agg(*aggs)
     return s.withColumn("status", _map(F.col("last_event_type"), status_map, default))
@@ -144,9 +159,10 @@ def stage_durations(orders: DataFrame, units: DataFrame, deliveries: DataFrame,
     """LC-3: seconds spent in each lifecycle stage, per unit (NULL where a bound is
     missing). First offer per delivery is an aggregate, joined once."""
     first_offer = assignments.groupBy("delivery_id").agg(F.min("offered_at").alias("first_offered_at"))
-    o = orders.select("order_id", "created_at", "payment_success_at")
-    d = deliveries.select("fulfilment_unit_id", "delivery_id", "rider_arrived_at_store", "picked_up_at",
-                          "delivery_started_at", "delivered_at").join(first_offer, "delivery_id", "left")
+    o = last_rows(orders, "order_id", LAST_ORDER["orders"], ["created_at", "payment_success_at"])
+    d = last_rows(deliveries, ["delivery_id", "fulfilment_unit_id"], LAST_ORDER["deliveries"],
+                  ["rider_arrived_at_store", "picked_up_at", "delivery_started_at", "delivered_at"])
+    d = d.join(first_offer, "delivery_id", "left")
     u = units.select("fulfilment_unit_id", "order_id", "assigned_to_store_at", "picking_started_at",
                      "picking_completed_at", "packing_started_at", "packing_completed_at")
     j = u.join(o, "order_id", "left").join(d, "fulfilment_unit_id", "left")
@@ -196,8 +212,10 @@ def delivery_requests(units: DataFrame, stores: DataFrame, orders: DataFrame) ->
     status is open), with the straight-line store-to-address distance. A unit whose store
     or order is not found is kept with ``request_ok`` false (strict lookup, no raise)."""
     open_u = units.filter(~F.coalesce(F.col("status").isin("CANCELLED", "FAILED"), F.lit(False)))
-    s = stores.select("store_id", F.col("latitude").alias("s_lat"), F.col("longitude").alias("s_lon"))
-    o = orders.select("order_id", F.col("delivery_latitude").alias("o_lat"), F.col("delivery_longitude").alias("o_lon"))
+    s = last_rows(stores, "store_id", LAST_ORDER["stores"], ["latitude", "longitude"]).select(
+        "store_id", F.col("latitude").alias("s_lat"), F.col("longitude").alias("s_lon"))
+    o = last_rows(orders, "order_id", LAST_ORDER["orders"], ["delivery_latitude", "delivery_longitude"]).select(
+        "order_id", F.col("delivery_latitude").alias("o_lat"), F.col("delivery_longitude").alias("o_lon"))
     j = open_u.select("fulfilment_unit_id", "order_id", "store_id").join(s, "store_id", "left").join(o, "order_id", "left")
     ok = F.col("s_lat").isNotNull() & F.col("o_lat").isNotNull()
     return j.select("fulfilment_unit_id", "order_id", "store_id", F.lit("REQUESTED").alias("status"),

@@ -14,6 +14,8 @@ all rows of a later one. ``time_bucket`` is: floor(seconds since epoch / width).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 EPOCH = "1970-01-01 00:00:00"
@@ -103,12 +105,12 @@ def asof_latest(probe: DataFrame, build: DataFrame, key: str, probe_time: str, b
     pl = F.struct(F.col(build_tiebreak).alias("_tb"), *[F.col(c).alias(c) for c in payload])
     null_pl = F.lit(None).cast(build.select(pl.alias("x")).schema["x"].dataType)
     p = probe.select(F.col(key).alias("_k"), F.col(probe_time).alias("_t"), F.lit(1).alias("_side"),
-                     F.lit(None).cast("long").alias("_ord"), null_pl.alias("_pl"),
+                     F.lit(None).cast(build.schema[build_tiebreak].dataType).alias("_ord"), null_pl.alias("_pl"),
                      F.struct(*[F.col(c) for c in pcols]).alias("_probe"))
     null_probe = F.lit(None).cast(p.schema["_probe"].dataType)
     bld = build.filter(F.col(build_time).isNotNull() & F.col(key).isNotNull())
     bb = bld.select(F.col(key).alias("_k"), F.col(build_time).alias("_t"), F.lit(0).alias("_side"),
-                    F.col(build_tiebreak).cast("long").alias("_ord"), pl.alias("_pl"), null_probe.alias("_probe"))
+                    F.col(build_tiebreak).alias("_ord"), pl.alias("_pl"), null_probe.alias("_probe"))
     u = p.unionByName(bb).withColumn("_b", time_bucket("_t", width_seconds))
     order = [F.col("_t"), F.col("_side"), F.col("_ord")]
     w_in = Window.partitionBy("_k", "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
@@ -155,36 +157,37 @@ def dense_rank_index(df: DataFrame, group, order: list[str], bucket: Column, out
     w_b = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select(*keys, b, F.coalesce(F.sum("_n").over(w_b), F.lit(0)).alias("_off"),
                            F.sum("_n").over(Window.partitionBy(*keys)).alias("_group_size"))
-    j = d.join(counts, [*keys, b], "left")
+    # NULL groups and buckets have positions like any other
+    right = counts.select(*[F.col(k).alias(f"_c{i}") for i, k in enumerate([*keys, b])], "_off", "_group_size")
+    on = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_c{i}")) for i, k in enumerate([*keys, b])])
+    j = d.join(right, on, "left")
     return j.select(*[F.col(c) for c in df.columns], (F.col("_off") + F.col("_rn") - 1).alias(out),
                     F.col("_group_size").alias(out + "_group_size"))
 
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
-MAX_RANGE_PARTITIONS = 50_000
 
 
 def range_partitions(df: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
     """Partition count for a range shuffle from the optimizer's size estimate (plan
-    statistics, no pass over the data): about ``target_bytes`` per partition, at least
-    the session's shuffle parallelism, so one partition never has to hold a huge share."""
+    statistics, no pass over the data): about ``target_bytes`` per partition however large the
+    input, at least the session's shuffle parallelism. Where the statistics cannot be read the
+    error shows; callers may pass a partition count instead."""
     spark = df.sparkSession
     floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        # sum of the leaf scans' sizes: the bytes actually read. (The root estimate of a
-        # join is the product of its inputs without CBO, useless for sizing.)
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    except Exception:       # statistics unavailable: fall back to the session setting
-        return floor
-    return max(floor, min(MAX_RANGE_PARTITIONS, -(-size // target_bytes)))
+    # sum of the leaf scans' sizes: the bytes actually read. (The root estimate of a join is
+    # the product of its inputs without CBO, useless for sizing.)
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return max(floor, -(-size // target_bytes))
 
 
 def sequential_number(df: DataFrame, order: list[str], n_partitions: int | None = None,
                       out: str = "seq") -> DataFrame:
     """1-based global position in ``order`` without a single-task window.
 
-    Range-partition on the order (Spark samples balanced bounds), sort inside the
+    Runs a job at once (the checkpoint), unlike the other operators. Range-partition on the
+    order (Spark samples balanced bounds), sort inside the
     partitions, take each row's position in its partition (``monotonically_increasing_id``
     encodes partition << 33 | position), checkpoint so positions are fixed even if an
     executor is lost, and add each partition's offset: a running sum over one count row

@@ -258,15 +258,25 @@ def q_staffing_ratio(spark, sf):
                     F.round(stf.staffing_ratio("packers_available", "packers_scheduled"), 4).alias("packer_ratio"))
 
 
-_RATES = [("avail_90", 0.9), ("avail_75", 0.75), ("avail_60", 0.6)]
-
-
-@query("available_staff", section="SC-18", oracle="SELECT staffing_snapshot_id, " + ", ".join(
-    f"cast(least(cast(pickers_scheduled as double), greatest(0.0, round_even(pickers_scheduled * cast({r} as double), 0)))"
-    f" as integer) AS {n}" for n, r in _RATES) + " FROM qc_store_staffing")
+@query("available_staff", section="SC-18", oracle="""
+WITH r AS (
+  SELECT store_id, cast(sum(pickers_available) as double) / sum(pickers_scheduled) AS rate
+  FROM qc_store_staffing GROUP BY store_id HAVING sum(pickers_scheduled) > 0)
+SELECT s.staffing_snapshot_id, s.store_id,
+       cast(least(cast(pickers_scheduled as double), greatest(0.0, round_even(pickers_scheduled * r.rate, 0))) as integer)
+         AS expected_available,
+       pickers_available - cast(least(cast(pickers_scheduled as double),
+                                      greatest(0.0, round_even(pickers_scheduled * r.rate, 0))) as integer) AS deviation
+FROM qc_store_staffing s LEFT JOIN r ON r.store_id = s.store_id
+""")
 def q_available_staff(spark, sf):
+    """Recorded pickers against those expected at the store's own attendance rate."""
     s = qc(spark, sf, "store_staffing")
-    return s.select("staffing_snapshot_id", *[stf.available_staff("pickers_scheduled", r).alias(n) for n, r in _RATES])
+    rates = s.groupBy("store_id").agg(F.sum("pickers_available").alias("a"), F.sum("pickers_scheduled").alias("n")) \
+        .filter("n > 0").select("store_id", (F.col("a").cast("double") / F.col("n")).alias("rate"))
+    expected = stf.available_staff("pickers_scheduled", F.col("rate"))
+    return s.join(rates, "store_id", "left").select("staffing_snapshot_id", "store_id", expected.alias("expected_available"),
+                                                    (F.col("pickers_available") - expected).alias("deviation"))
 
 
 @query("pick_staffing_band", section="PRJ-4", oracle=f"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import windows
+from ..operators import aggs, windows
 from ..operators.ordered import asof_latest
 from .fixtures import qc, raw
 from .registry import query
@@ -79,9 +79,7 @@ FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
 """)
 def q_duplicate_ids(spark, sf):
     li = raw(spark, sf, "lineitem")
-    r = windows.repeat_occurrences(li, ["l_orderkey", "l_linenumber"])
-    return r.groupBy("l_orderkey", "l_linenumber").agg((F.max("occurrence")).alias("occurrences"),
-                                                        F.count(F.lit(1)).alias("repeats"))
+    return aggs.duplicate_keys(li, ["l_orderkey", "l_linenumber"])
 
 
 @query("rider_available_at", section="WN-4", oracle="""

@@ -47,8 +47,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the launcher sets it to shared storage and it is used as is. Only
-    when it is unset (local tests) a fresh scratch folder is created.
+    The launcher sets it to shared storage and it is used as is. Where it is unset, a fresh
+    folder is made for a local master (tests); any other master is an error, because executors
+    would not see a folder of the driver's machine.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,6 +57,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="dispatchkit-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
