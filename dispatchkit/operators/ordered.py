@@ -166,6 +166,7 @@ def dense_rank_index(df: DataFrame, group, order: list[str], bucket: Column, out
 
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+UNKNOWN_BYTES = 1 << 62
 
 
 def range_partitions(df: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
@@ -178,8 +179,10 @@ def range_partitions(df: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES)
     # sum of the leaf scans' sizes: the bytes actually read. (The root estimate of a join is
     # the product of its inputs without CBO, useless for sizing.)
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    return max(floor, -(-size // target_bytes))
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    if any(s >= UNKNOWN_BYTES for s in sizes):      # an RDD has no statistics: its own partitioning says
+        return max(floor, df.rdd.getNumPartitions())
+    return max(floor, -(-sum(sizes) // target_bytes))
 
 
 def sequential_number(df: DataFrame, order: list[str], n_partitions: int | None = None,

@@ -10,13 +10,11 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.timestamps import CANONICAL_PATTERN, empty_to_null, parse_ts_optional
 from .schemas import DECLARED, columns, struct_type, timestamp_columns  # noqa: F401 (re-exported)
 
-CSV_OPTIONS = {"header": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
-
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -36,30 +34,62 @@ def require_datasets(spark: SparkSession, paths: dict[str, str]) -> None:
         raise FileNotFoundError("missing input datasets: " + ", ".join(missing))
 
 
+def csv_header(spark: SparkSession, path: str) -> list[str]:
+    """Column names as the file's header has them."""
+    return spark.read.option("header", "true").csv(path).columns
+
+
 def scan_csv_text(spark: SparkSession, path: str, dataset: str) -> DataFrame:
-    """The declared columns as text (timestamps unparsed), '' normalised to NULL. Rows
-    that do not fit the layout keep their text in ``_corrupt_record``."""
-    schema = struct_type(dataset, text_timestamps=True)
-    schema = schema.add(T.StructField("_corrupt_record", T.StringType(), True))
-    df = spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
-    out = []
-    for f in schema.fields:
-        c = F.col(f.name)
-        out.append(empty_to_null(c).alias(f.name) if isinstance(f.dataType, T.StringType) else c)
-    return df.select(*out)
+    """The declared columns as text, bound by the header's names whatever their order; '' is
+    NULL. Declared columns that the file lacks are NULL (``header_issues`` names them)."""
+    found = spark.read.option("header", "true").option("mode", "PERMISSIVE").csv(path)
+    names = set(found.columns)
+    return found.select(*[(empty_to_null(F.col(f"`{c}`")) if c in names else F.lit(None).cast("string")).alias(c)
+                          for c in columns(dataset)])
+
+
+def header_issues(spark: SparkSession, path: str, dataset: str) -> list[tuple]:
+    """Missing and extra columns of a CSV file: (dataset, column, issue)."""
+    found, declared = csv_header(spark, path), columns(dataset)
+    return ([(dataset, c, "missing") for c in declared if c not in found]
+            + [(dataset, c, "extra") for c in found if c not in declared])
+
+
+def _converted(text: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StringType):
+        return text
+    if isinstance(kind, T.TimestampNTZType):
+        return parse_ts_optional(text)
+    return text.try_cast(kind)
 
 
 def scan_csv_typed(spark: SparkSession, path: str, dataset: str, keep_raw: bool = False) -> DataFrame:
-    """SRC-1: a header CSV typed to its declared schema. Timestamps are parsed leniently
-    (both accepted text forms); with ``keep_raw`` the original text stays as
-    ``_raw_<column>`` so unparseable values can be reported (rules TS-*)."""
-    df = scan_csv_text(spark, path, dataset)
-    for c in timestamp_columns(dataset):
-        if keep_raw:
-            df = df.withColumn("_raw_" + c, F.col(c))
-        df = df.withColumn(c, parse_ts_optional(c))
-    keep = columns(dataset) + (["_raw_" + c for c in timestamp_columns(dataset)] if keep_raw else [])
-    return df.select(*keep)
+    """SRC-1: a header CSV typed to its declared schema. No row and no value goes silently: text
+    that does not convert is NULL in its column and kept with its name in ``_unconverted`` (an array
+    of column and text, empty for clean rows) when ``keep_raw`` is set, which also keeps the text of
+    every timestamp as ``_raw_<column>`` for rules TS-*; without it such text raises."""
+    text = scan_csv_text(spark, path, dataset)
+    kinds = dict(DECLARED[dataset][1])
+    bad = F.filter(F.array(*[F.when(F.col(c).isNotNull() & _converted(F.col(c), k).isNull(),
+                                    F.struct(F.lit(c).alias("column"), F.col(c).alias("text")))
+                             for c, k in kinds.items()]), lambda x: x.isNotNull())
+    if keep_raw:
+        return text.select(*[_converted(F.col(c), k).alias(c) for c, k in kinds.items()],
+                           *[F.col(c).alias("_raw_" + c) for c in timestamp_columns(dataset)], bad.alias("_unconverted"))
+    return text.select(*[F.when(F.col(c).isNotNull() & _converted(F.col(c), k).isNull(), F.raise_error(F.concat(
+        F.lit(f"{dataset}.{c} does not convert: "), F.col(c))).cast(k)).otherwise(_converted(F.col(c), k)).alias(c)
+        if not isinstance(k, T.StringType) else F.col(c) for c, k in kinds.items()])
+
+
+def conversion_counts(spark: SparkSession, path: str, dataset: str) -> DataFrame:
+    """SRC-4 on data: per declared column, the rows of a CSV file and those whose text does not
+    convert to the declared type (one aggregate over one scan)."""
+    scan = scan_csv_typed(spark, path, dataset, keep_raw=True)
+    names = columns(dataset)
+    counts = scan.agg(F.count(F.lit(1)).alias("n"), *[
+        F.count(F.when(F.array_contains("_unconverted.column", c), 1)).alias(c) for c in names])
+    return counts.select(F.lit(dataset).alias("dataset"), F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col("n").alias("n_rows"), F.col(c).alias("n_unconverted")) for c in names])))
 
 
 def schema_conformance(df: DataFrame, dataset: str, check_types: bool = False) -> list[tuple]:
@@ -129,27 +159,61 @@ def write_csv_ordered(df: DataFrame, path: str, dataset: str | None = None, cols
      .option("timestampFormat", CANONICAL_PATTERN).csv(path))
 
 
+def switch_pointer(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small text file in one step: written beside it, then renamed over it, so a reader
+    finds the old or the new text and never none."""
+    import uuid
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    fs, target = _fs(spark, path)
+    fs.mkdirs(target.getParent())
+    draft = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex[:8]}")
+    out = fs.create(draft, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(
+        fs.makeQualified(draft), fs.makeQualified(target), how)
+
+
+def read_pointer(spark: SparkSession, path: str) -> str | None:
+    """Text of a pointer file, None if there is none yet."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def publish_gated(spark: SparkSession, tables: dict[str, DataFrame], violations: DataFrame, target: str,
-                  fmt: str = "csv") -> dict:
-    """SNK-2: publish the tables only when the suite has no ERROR.
-
-    The gate is one small aggregate (the only value brought to the driver). On success
-    the tables are written to a fresh run directory and a ``_CURRENT`` pointer file is
-    switched last, so readers never see a half-written publication."""
-    from ..quality.suite import gate
-    g = gate(violations).collect()[0]
-    result = {"n_errors": int(g["n_errors"]), "passed": bool(g["passed"]), "published": False, "run_path": None}
+                  fmt: str = "csv", partition_by: dict[str, list[str]] | None = None) -> dict:
+    """SNK-2: publish the ten tables only when all 100 rules ran, none found an ERROR, and every
+    table has exactly its declared columns.
+
+    The gate is one small aggregate (the only value brought to the driver). On success the tables
+    are written in declared column order to a fresh run directory and the ``_CURRENT`` pointer is
+    switched last, so readers never see a half-written publication. ``fmt='parquet'`` writes curated
+    tables, partitioned as ``partition_by`` says."""
+    from ..quality.suite import gate, not_evaluated
+    g = gate(violations, tables).collect()[0]
+    issues = [i for t in DECLARED for i in (schema_conformance(tables[t], t) if t in tables else [(t, None, "missing table", None, None)])
+              if i[2] != "position"]
+    result = {"n_errors": int(g["n_errors"]), "passed": bool(g["passed"]) and not issues, "published": False, "run_path": None,
+              "not_evaluated": not_evaluated(tables), "schema_issues": issues}
     if not result["passed"]:
         return result
     import uuid
     run = f"{target.rstrip('/')}/run-{uuid.uuid4().hex[:12]}"
-    for name, df in tables.items():
+    for name in DECLARED:
         if fmt == "csv":
-            write_csv_ordered(df, f"{run}/{name}", cols=df.columns)
+            write_csv_ordered(tables[name], f"{run}/{name}", name)
         else:
-            df.write.mode("overwrite").parquet(f"{run}/{name}")
-    spark.createDataFrame([(run,)], "run_path string").coalesce(1).write.mode("overwrite").text(
-        f"{target.rstrip('/')}/_CURRENT")
+            write_curated(tables[name].select(*columns(name)), f"{run}/{name}", (partition_by or {}).get(name, []))
+    switch_pointer(spark, f"{target.rstrip('/')}/_CURRENT", run)
     result.update(published=True, run_path=run)
     return result
 

@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from dispatchkit.plans import fixtures
-from dispatchkit.quality import suite
+from dispatchkit.quality import rules, suite
+from dispatchkit.quality.keys import UNIQUE_ORDER
 from dispatchkit.session import scratch_path
 from dispatchkit.sources import io
 
@@ -28,19 +29,78 @@ def test_csv_round_trip_keeps_values(spark):
     assert text == 0
 
 
-def test_publish_blocked_on_errors_and_done_when_clean(spark):
+def clean_tables(spark):
+    """Ten tables with one delivered order that breaks no rule, in declared columns."""
+    t0 = dt.datetime(2024, 3, 1, 10)
+    at = lambda m: t0 + dt.timedelta(minutes=m)
+    ids = {"customer_id": "CUS-1", "store_id": "STO-1", "rider_id": "RID-1", "order_id": "ORD-1", "fulfilment_unit_id": "FU-1",
+           "order_item_id": "ITM-1", "delivery_id": "DEL-1", "assignment_id": "ASG-1", "staffing_snapshot_id": "STF-1"}
+    values = {
+        "orders": {"created_at": at(0), "payment_success_at": at(1), "status": "DELIVERED"},
+        "fulfilment_units": {"status": "COMPLETED", "assigned_to_store_at": at(2), "picking_started_at": at(3), "completed_at": at(30)},
+        "order_items": {"quantity": 2},
+        "deliveries": {"status": "DELIVERED", "rider_arrived_at_store": at(10), "picked_up_at": at(11), "delivery_started_at": at(12),
+                       "delivered_at": at(29)},
+        "rider_assignments": {"response": "ACCEPTED", "offered_at": at(5), "responded_at": at(6)},
+        "store_staffing": {"recorded_at": at(0), "pickers_scheduled": 3, "pickers_available": 2}}
+    out = {}
+    for t in UNIQUE_ORDER:
+        row = {**{c: ids[c] for c in io.columns(t) if c in ids}, **values.get(t, {})}
+        rows = [row]
+        if t == "operational_events":
+            rows = [{**row, "event_id": f"EVT-{i}", "event_type": e, "occurred_at": at(i)} for i, e in enumerate(rules.DELIVERED_EVENTS)]
+        out[t] = spark.createDataFrame([tuple(r.get(c) for c in io.columns(t)) for r in rows], io.struct_type(t))
+    return out
+
+
+def test_publish_needs_all_rules_all_tables_and_no_error(spark):
     t = fixtures.registry(spark, SF_SMALL)
     target = scratch_path(spark, "t-pub")
     res = io.publish_gated(spark, t, suite.validate(t), target)
     assert res["passed"] is False and res["published"] is False and res["n_errors"] > 0
+    clean = clean_tables(spark)
+    broken = [{"stores": clean["stores"]},                                                 # tables missing
+              {**clean, "deliveries": clean["deliveries"].drop("picked_up_at")},           # a column missing
+              {**clean, "stores": clean["stores"].withColumn("note", F.lit("x"))}]         # an undeclared column
+    for tables in broken:
+        res = io.publish_gated(spark, tables, suite.validate(tables), target)
+        assert res["n_errors"] == 0 and res["passed"] is False and res["published"] is False
+        assert res["not_evaluated"] or res["schema_issues"]
     assert not io.path_exists(spark, f"{target}/_CURRENT")
-    # the stores table alone is clean: its own rules (keys) find nothing, so it is published
-    stores = {"stores": t["stores"]}
-    res = io.publish_gated(spark, stores, suite.validate(stores), target, fmt="parquet")
-    assert res["published"] is True
-    pointer = spark.read.text(f"{target}/_CURRENT").first()[0]
-    assert pointer == res["run_path"]
-    assert spark.read.parquet(f"{pointer}/stores").count() == t["stores"].count()
+    lacking = suite.not_evaluated(broken[1])
+    assert "DL-01" in lacking and "DL-02" in lacking and "DL-06" in lacking and "DL-04" not in lacking
+    shown = {r.rule_id: (r.evaluated, r.n_violations) for r in suite.summary(suite.validate(broken[1]), broken[1]).collect()}
+    assert shown["DL-01"] == (False, None) and shown["DL-04"] == (True, 0)
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_clean_tables_are_published_in_declared_columns(spark, fmt):
+    clean = clean_tables(spark)
+    shuffled = {t: df.select(*reversed(df.columns)) for t, df in clean.items()}
+    target = scratch_path(spark, "t-pub-clean")
+    paths = []
+    for _ in range(2):                                         # a second run switches the pointer
+        res = io.publish_gated(spark, shuffled, suite.validate(shuffled), target, fmt, {"deliveries": ["status"]})
+        assert res["published"], res
+        paths.append(io.read_pointer(spark, f"{target}/_CURRENT"))
+    assert paths[0] != paths[1] == res["run_path"]
+    for t, df in clean.items():
+        back = io.scan_csv_typed(spark, f"{paths[1]}/{t}", t) if fmt == "csv" else spark.read.parquet(f"{paths[1]}/{t}")
+        assert sorted(map(str, back.select(*df.columns).collect())) == sorted(map(str, df.collect())), t
+
+
+def test_csv_is_bound_by_header_and_bad_text_is_kept(spark):
+    path = scratch_path(spark, "t-header")
+    spark.createDataFrame([("x", "7", "ORD-1"), ("y", "abc", "ORD-2"), ("", "", "ORD-3")], "product_id string, quantity string, order_id string") \
+        .write.option("header", "true").csv(path)
+    assert io.header_issues(spark, path, "order_items") == [("order_items", "order_item_id", "missing"),
+                                                            ("order_items", "fulfilment_unit_id", "missing")]
+    got = {r.order_id: r for r in io.scan_csv_typed(spark, path, "order_items", keep_raw=True).collect()}
+    assert (got["ORD-1"].quantity, got["ORD-1"].product_id, got["ORD-1"].order_item_id) == (7, "x", None)
+    assert got["ORD-2"].quantity is None and [(u.column, u.text) for u in got["ORD-2"]._unconverted] == [("quantity", "abc")]
+    assert got["ORD-3"].product_id is None and got["ORD-3"]._unconverted == []
+    with pytest.raises(Exception, match="quantity does not convert"):
+        io.scan_csv_typed(spark, path, "order_items").collect()
 
 
 def test_require_datasets_names_every_missing_input(spark):
