@@ -9,14 +9,16 @@ empty, linked with nothing). Two sets link at Jaccard >= ``percent`` / 100.
    gives the same links.
 2. Signatures. Documents with equal sets are one class (64-bit hash of the set). A class enters
    the index once per scan task, with its prefix: the first n - ceil(t n) + 1 codes.
-3. Lists. Prefix codes are shuffled and sorted; codes with one class go. In a list the classes are
-   in order of size, and a class is paired with its list's pivot: the first class that the length
-   filter allows. Positional filter, one row per pair, suffix filter (counts of suffix codes in 64
-   hash cells bound the overlap), then one exact count of common codes per pair.
-4. Components of the pivot links. Then every pair of list members in *different* components that
-   passes length, positional and suffix filters is verified too. Pairs inside one component
-   cannot change it; so the components are exact though thousands of near copies of one text are
-   linked over their pivots and not pair by pair. ``links`` returns all links instead.
+3. Lists. Prefix codes are shuffled and sorted; codes with one class go. A list's pivots are its
+   first classes (by hash, so that lists of much the same classes have the same pivots) in each of
+   two staggered sequences of size bands; within a band the length filter holds. A class is paired
+   with the pivots of its bands. Positional filter, one row per pair, suffix filter (counts of suffix
+   codes in 64 hash cells bound the overlap), then one exact count of common codes per pair.
+4. Components of the pivot links. Lists whose members are not all in one component are open. They
+   are paired again with more pivots of other components, and at last every pair of members in
+   *different* components that passes the filters is verified. Pairs inside one component cannot
+   change it; so the components are exact though thousands of near copies of one text are linked
+   over their pivots and not pair by pair. ``links`` returns all links instead.
 
 Results depend on hashes of 58 bits per gram and 64 bits per set. Defined results: NULL text
 counts as empty; a component's id is the smallest non-NULL id; repeated rows are documents of
@@ -25,6 +27,8 @@ their own; an empty table gives no rows; further columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
@@ -37,6 +41,12 @@ PERCENT = 80
 SKETCH_BITS = 22
 SLICE_BITS = 14
 CELLS = 64
+PIVOTS = 8
+#: A class shares many lists with its near copies. Past this many rows of a list, only every THIN-th
+#: list pairs its rows with pivots (the last round covers all lists).
+CROWD, THIN = 64, 4
+#: Pivots per band of the later rounds; None: all pairs of members in different components.
+MORE_PIVOTS = (64, None)
 HASH = np.uint64((1 << 58) - 1)
 
 
@@ -149,8 +159,24 @@ def signatures(docs: DataFrame, classes: np.ndarray, id_col: str, text_col: str,
     return materialize(rows.mapInArrow(sign, schema), "jaccard-signatures")
 
 
+def with_pivots(pivots: dict, most: int, percent: int, n: int, pos: int, row: tuple) -> list[tuple]:
+    """Pivots of the row's size bands that length and positional filter allow; the row becomes a
+    pivot of a band that has fewer than ``most``. Two staggered sequences of bands: sets of much the
+    same size share a band of one of them."""
+    found, size = [], math.log(n) / math.log(100 / percent)
+    for band in ((0, math.floor(size)), (1, math.floor(size + 0.5))):
+        known = pivots.setdefault(band, [])
+        found += [other for other, m, place in known
+                  if 100 * min(n, m) >= percent * max(n, m)
+                  and (100 + percent) * min(n - pos, m - place) >= percent * (n + m) and other not in found]
+        if len(known) < most:
+            known.append((row, n, pos))
+    return found
+
+
 def prefix_lists(signed: DataFrame, percent: int) -> DataFrame:
-    """Stored table of the lists with two classes or more: code, cls, n, pos and the pivot."""
+    """Stored table of the lists with two classes or more: code, cls, n, pos, and the pivots that
+    length and positional filter allow for the row."""
     import pyarrow as pa
 
     def spread(batches):
@@ -165,15 +191,13 @@ def prefix_lists(signed: DataFrame, percent: int) -> DataFrame:
                     [pa.array(np.concatenate([x for x, _, _ in part])), pa.array(np.repeat(np.array([c for _, c, _ in part], np.int64), size)),
                      pa.array(n << 24 | pos)], names=["code", "cls", "n_pos"])
 
-    names = ["code", "cls", "n_pos", "pivot", "pivot_n_pos"]
-
     def lists(batches):
         held = np.zeros((3, 0), np.int64)       # the open list's last row, once it is known whether it has company
-        pivot, shown, head = None, False, None
+        shown, code, seen, pivots = False, None, 0, {}        # the open list's rows so far and pivots, per band
 
         def sweep(rows, final):
             """Rows of lists of two or more; the last row waits for what follows it."""
-            nonlocal held, pivot, shown, head
+            nonlocal held, shown, code, seen
             if not rows.shape[1]:
                 return None
             keep = np.ones(rows.shape[1], bool)
@@ -188,23 +212,21 @@ def prefix_lists(signed: DataFrame, percent: int) -> DataFrame:
             last = rows.shape[1] if final else rows.shape[1] - 1
             out = []
             for i in np.flatnonzero(company[:last]).tolist():
-                code, cls, n_pos = (int(x) for x in rows[:, i])
-                n, pos = n_pos >> 24, n_pos & 0xFFFFFF
-                if head is None or head[0] != code:
-                    head = (code, n)
-                # the best partner is as small as the list and the length filter allow
-                partner = max(head[1], -(-percent * n // 100))
-                if (100 + percent) * (n - pos) < percent * (n + partner):
-                    continue
-                if pivot is None or pivot[0] != code or 100 * (pivot[2] >> 24) < percent * n:
-                    pivot = (code, cls, n_pos)
-                out.append((code, cls, n_pos, pivot[1], pivot[2]))
+                at, cls, n_pos = (int(x) for x in rows[:, i])
+                if at != code:
+                    code, seen = at, 0
+                    pivots.clear()
+                n, pos, seen = n_pos >> 24, n_pos & 0xFFFFFF, seen + 1
+                near = with_pivots(pivots, PIVOTS, percent, n, pos, (cls,)) if seen <= CROWD or not at % THIN else []
+                out.append((at, cls, n, pos, [x[0] for x in near]))
             shown = bool(company[-1]) if not final else False
             held = rows[:, last:]
             return out or None
 
         def batch_of(out):
-            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], names=names)
+            *numbers, others = zip(*out)
+            return pa.RecordBatch.from_arrays([*[pa.array(x, pa.int64()) for x in numbers], pa.array(others, pa.list_(pa.int64()))],
+                                              names=["code", "cls", "n", "pos", "pivots"])
 
         for batch in batches:
             rows = np.stack([batch.column(i).to_numpy() for i in range(3)])
@@ -215,12 +237,8 @@ def prefix_lists(signed: DataFrame, percent: int) -> DataFrame:
 
     posted = signed.filter("prefix is not null").select("cls", "n", "prefix").mapInArrow(
         spread, "code long, cls long, n_pos long")
-    ordered = posted.repartition("code").sortWithinPartitions("code", F.shiftright("n_pos", 24), "cls")
-    found = ordered.mapInArrow(lists, ", ".join(f"{x} long" for x in names))
-    size, place = lambda c: F.shiftright(c, 24), lambda c: F.col(c).bitwiseAND(F.lit((1 << 24) - 1))
-    return materialize(found.select("code", "cls", size("n_pos").alias("n"), place("n_pos").alias("pos"), "pivot",
-                                    size("pivot_n_pos").alias("pivot_n"), place("pivot_n_pos").alias("pivot_pos")),
-                       "jaccard-lists")
+    ordered = posted.repartition("code").sortWithinPartitions("code", "cls")
+    return materialize(ordered.mapInArrow(lists, "code long, cls long, n long, pos long, pivots array<long>"), "jaccard-lists")
 
 
 def needed_overlap(a, b, percent: int):
@@ -303,17 +321,41 @@ def exactly_linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame
             .mapInArrow(exact, "a long, b long"))
 
 
-def pivot_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """Members with their list's pivot that pass the positional filter, once per pair."""
-    most = 1 + F.least(F.col("n") - F.col("pos"), F.col("pivot_n") - F.col("pivot_pos")) - 1
-    return (lists.filter((F.col("cls") != F.col("pivot")) & (most >= needed_overlap("n", "pivot_n", percent)))
+def pivot_pairs(lists: DataFrame) -> DataFrame:
+    """Members with their pivots, once per pair."""
+    return (lists.select("cls", F.explode("pivots").alias("pivot"))
             .select(F.least("cls", "pivot").alias("a"), F.greatest("cls", "pivot").alias("b")).distinct())
 
 
+def open_pairs(open_lists: DataFrame, percent: int, most: int) -> DataFrame:
+    """Rows of open lists with up to ``most`` pivots a band in another component, once per pair. The
+    order differs from that of the first pivots."""
+    import pyarrow as pa
+
+    def pair(batches):
+        code, seen, pivots = None, 0, {}
+        for batch in batches:
+            out = []
+            for at, cls, n, pos, comp in zip(*[c.to_pylist() for c in batch.columns]):
+                if at != code:
+                    code, seen = at, 0
+                    pivots.clear()
+                seen += 1
+                if seen <= CROWD or not at % THIN:
+                    out += [(min(cls, x), max(cls, x)) for x, c in with_pivots(pivots, most, percent, n, pos, (cls, comp)) if c != comp]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], names=["a", "b"])
+
+    ordered = (open_lists.select("code", "cls", "n", "pos", "comp").repartition("code")
+               .sortWithinPartitions("code", F.xxhash64("cls"), "cls"))
+    return ordered.mapInArrow(pair, "a long, b long").distinct()
+
+
 def member_pairs(lists: DataFrame, percent: int, across: bool) -> DataFrame:
     """All pairs within the lists that pass length and positional filters, once per pair;
     ``across``: only between different values of ``comp``."""
-    x, y = lists.alias("x"), lists.alias("y")
+    rows = lists.drop("pivots")
+    x, y = rows.alias("x"), rows.alias("y")
     most = F.least(F.expr("x.n - x.pos"), F.expr("y.n - y.pos"))
     on = (F.expr("x.code = y.code") & F.expr("x.n < y.n or (x.n = y.n and x.cls < y.cls)")
           & F.expr(f"100 * x.n >= {percent} * y.n") & (most >= needed_overlap("x.n", "y.n", percent)))
@@ -323,6 +365,17 @@ def member_pairs(lists: DataFrame, percent: int, across: bool) -> DataFrame:
             .distinct())
 
 
+def merged(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (node, root) after further links (a, b) between them and nodes of no component."""
+    ends = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    known = materialize(parts.unionByName(ends.join(parts, "node", "left_anti").withColumn("root", F.col("node"))), "jaccard-parts")
+    edges = (links.join(known.select(F.col("node").alias("a"), F.col("root").alias("u")), "a")
+             .join(known.select(F.col("node").alias("b"), F.col("root").alias("v")), "b")
+             .select(F.col("u").alias("a"), F.col("v").alias("b")))
+    top = connected(edges).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    return materialize(known.join(top, "root", "left").select("node", F.coalesce("top", "root").alias("root")), "jaccard-parts")
+
+
 class JaccardJoin:
     """The join's stored intermediate tables; made once, used by ``links`` and ``components``."""
 
@@ -337,7 +390,7 @@ class JaccardJoin:
     def verified(self, pairs: DataFrame) -> DataFrame:
         """Stored links among the pairs: suffix filter first, then the sets of what is left."""
         near = materialize(suffix_filtered(pairs, self.classes, self.percent), "jaccard-near")
-        members = near.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+        members = near.select(F.col("a").alias("cls")).union(near.select("b")).distinct()
         wanted = self.classes.join(members, "cls", "left_semi").select("cls", "id")
         sets = class_sets(self.docs, wanted, self.frequencies, self.id_col, self.text_col, self.k)
         return materialize(exactly_linked(near, sets, self.percent).distinct(), "jaccard-links")
@@ -348,24 +401,15 @@ class JaccardJoin:
 
     def roots(self) -> DataFrame:
         """(cls, root) of every class that links with another."""
-        first = self.verified(pivot_pairs(self.lists, self.percent))
-        part = connected(first)
-        labelled = self.lists.join(part, F.col("cls") == F.col("node"), "left").select(
-            "code", "cls", "n", "pos", F.coalesce("root", "cls").alias("comp"))
-        open_codes = labelled.groupBy("code").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
-        open_lists = materialize(labelled.join(open_codes.select("code"), "code", "left_semi"), "jaccard-open")
-        second = self.verified(member_pairs(open_lists, self.percent, across=True))
-        names = open_lists.select(F.col("cls").alias("c"), F.col("comp").alias("r")).distinct()
-        bridges = materialize(second.join(names.withColumnRenamed("r", "u"), F.col("a") == F.col("c")).drop("c")
-                              .join(names.withColumnRenamed("r", "v"), F.col("b") == F.col("c"))
-                              .select(F.col("u").alias("a"), F.col("v").alias("b"),
-                                      F.struct("a", "b").alias("link")), "jaccard-bridges")
-        joined = connected(bridges.select("a", "b").distinct())
-        # a class outside the first components is its own part
-        parts = part.unionByName(bridges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-                                 .join(part, "node", "left_anti").withColumn("root", F.col("node")))
-        again = joined.select(F.col("node").alias("root"), F.col("root").alias("top"))
-        return parts.join(again, "root", "left").select(F.col("node").alias("cls"), F.coalesce("top", "root").alias("root"))
+        parts = connected(self.verified(pivot_pairs(self.lists)))
+        for most in MORE_PIVOTS:
+            labelled = self.lists.join(parts, F.col("cls") == F.col("node"), "left").select(
+                "code", "cls", "n", "pos", F.coalesce("root", "cls").alias("comp"))
+            open_codes = labelled.groupBy("code").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
+            lists = materialize(labelled.join(open_codes.select("code"), "code", "left_semi"), "jaccard-open")
+            pairs = open_pairs(lists, self.percent, most) if most else member_pairs(lists, self.percent, across=True)
+            parts = merged(parts, self.verified(pairs))
+        return parts.select(F.col("node").alias("cls"), "root")
 
     def components(self) -> DataFrame:
         """One row per document: id, n, smallest id of its component."""
