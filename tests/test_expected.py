@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from dispatchkit.plans import catalog
 from dispatchkit.operators import lifecycle
 from dispatchkit.plans import fixtures
 from dispatchkit.quality import suite
@@ -89,7 +90,7 @@ def test_filter_pushed_into_scan(spark):
     assert "PushedFilters: [In(event_type" in plan or "PushedFilters: [IsNotNull(event_type), In(event_type" in plan, plan
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(catalog.queries()))
 def test_no_pairs_or_python_in_any_plan(spark, key):
     """Every registered query: no Cartesian product, no Python evaluation node."""
     df = E.queries()[key](spark, SF_SMALL)

@@ -10,10 +10,11 @@ from conftest import ROOT, SF_SMALL
 
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 
+from dispatchkit.plans import catalog  # noqa: E402
 import __spark_entry__ as E  # noqa: E402
 from check_oracle import compare, duck  # noqa: E402
 
-KEYS = sorted(E.queries())
+KEYS = sorted(catalog.queries())
 
 
 @pytest.fixture(scope="module")
