@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .joins import last_rows
 from .ordered import (DEFAULT_BUCKET_SECONDS, asof_latest, dense_rank_index, previous_row, quantile_bucket,
                       running_max_before, sequential_number, time_bucket)
 
@@ -105,7 +106,8 @@ def accepted_attempt(offers: DataFrame, key: str = "delivery_id", seq: str = "as
         F.count(F.lit(1)).alias("n_offers"),
         F.min(F.when(acc, F.struct(F.col(seq).alias("s"), F.col("rider_id").alias("r"),
                                     F.col("responded_at").alias("t")))).alias("_a"))
-    j = offers.select(key, seq).join(first, key)
+    right = first.withColumnRenamed(key, "_key")                # offers of no delivery are a group too
+    j = offers.select(key, seq).join(right, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
     after = F.sum(F.when(F.col("_a").isNotNull() & (F.col(seq) > F.col("_a.s")), 1).otherwise(0))
     agg = j.groupBy(key).agg(F.first("n_offers").alias("n_offers"), F.first("_a").alias("_a"),
                              after.alias("offers_after_accept"))
@@ -114,6 +116,24 @@ def accepted_attempt(offers: DataFrame, key: str = "delivery_id", seq: str = "as
                       "offers_after_accept")
 
 
+def offers_outside_candidates(offers: DataFrame, deliveries: DataFrame, riders: DataFrame) -> DataFrame:
+    """JN-8 on the record: offers made to a rider who was no candidate, with the reason: not a known
+    rider, not active, or busy. A rider is busy until the latest ``delivered_at`` of the deliveries
+    started by the time of the offer and free before the first one; that time is a running maximum
+    per rider, looked up as of the offer (no rider x delivery pairs)."""
+    d = deliveries.filter(F.col("rider_id").isNotNull() & F.col("delivery_started_at").isNotNull()).select(
+        "rider_id", "delivery_id", "delivery_started_at", "delivered_at")
+    busy = available_at(d, "rider_id", ["delivery_started_at", "delivery_id"], "delivered_at", out="before")
+    busy = busy.withColumn("busy_until", F.greatest("before", "delivered_at"))
+    o = asof_latest(offers.select("assignment_id", "delivery_id", "rider_id", "offered_at"), busy, "rider_id", "offered_at",
+                    "delivery_started_at", "delivery_id", ["busy_until"], fallback_earliest=False, prefix="last_")
+    r = last_rows(riders, "rider_id", [], ["status"]).withColumn("known", F.lit(True))
+    reason = (F.when(F.col("known").isNull(), "UNKNOWN_RIDER").when(~F.col("status").eqNullSafe(F.lit("ACTIVE")), "INACTIVE_RIDER")
+              .when(F.col("last_busy_until") > F.col("offered_at"), "BUSY"))
+    return (o.join(r, "rider_id", "left").withColumn("reason", reason).filter("reason is not null")
+            .select("assignment_id", "delivery_id", "rider_id", "offered_at", "reason"))
+
+
 def pick_k_per_group(df: DataFrame, group: str, rank_expr: Column, tiebreak: str, k: int) -> DataFrame:
     """SO-2: up to k rows per group, smallest (rank_expr, tiebreak) first. Spark plans a
     WindowGroupLimit before the shuffle, so at most k rows per group leave each map task
@@ -147,4 +167,4 @@ def global_order(df: DataFrame, order: list[str], out: str = "seq") -> DataFrame
 
 
 __all__ = ["interval_overlaps", "timestamp_chain", "repeat_occurrences", "available_at", "accepted_attempt",
-           "pick_k_per_group", "latest_and_earliest", "intervals_by_start", "global_order", "asof_latest"]
+           "offers_outside_candidates", "pick_k_per_group", "latest_and_earliest", "intervals_by_start", "global_order", "asof_latest"]

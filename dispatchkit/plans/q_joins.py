@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators import joins
+from ..operators import joins, windows
 from ..operators.ordered import asof_latest, dense_rank_index, time_bucket
 from ..quality.keys import FOREIGN_KEYS
 from ..sources.schemas import key_of
@@ -337,3 +337,18 @@ def q_rider_candidates(spark, sf):
                        F.when(F.col("nz") > 0, F.col("nz")).otherwise(F.col("na")).alias("n_available"))
     picks = joins.pick_from_prefix(ch, "delivery_id", "cand_zone", "n_available", indexed, "zone", k=3, seed=23)
     return picks.select("delivery_id", "cand_zone", "n_available", "pick_no", "rider_id")
+
+
+@query("offers_outside_candidates", section="JN-8", oracle="""
+SELECT a.assignment_id, a.delivery_id, a.rider_id, a.offered_at,
+       CASE WHEN r.rider_id IS NULL THEN 'UNKNOWN_RIDER' WHEN r.status IS DISTINCT FROM 'ACTIVE' THEN 'INACTIVE_RIDER'
+            ELSE 'BUSY' END AS reason
+FROM qc_rider_assignments a LEFT JOIN qc_riders r ON r.rider_id = a.rider_id
+WHERE r.rider_id IS NULL OR r.status IS DISTINCT FROM 'ACTIVE'
+   OR (SELECT max(d.delivered_at) FROM qc_deliveries d
+       WHERE d.rider_id = a.rider_id AND d.delivery_started_at <= a.offered_at) > a.offered_at
+""")
+def q_offers_outside_candidates(spark, sf):
+    """Recorded offers to riders outside the candidate set (unknown, inactive or mid-delivery)."""
+    return windows.offers_outside_candidates(qc(spark, sf, "rider_assignments"), qc(spark, sf, "deliveries"),
+                                             qc(spark, sf, "riders"))
