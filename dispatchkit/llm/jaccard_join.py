@@ -390,6 +390,8 @@ class JaccardJoin:
     def verified(self, pairs: DataFrame) -> DataFrame:
         """Stored links among the pairs: suffix filter first, then the sets of what is left."""
         near = materialize(suffix_filtered(pairs, self.classes, self.percent), "jaccard-near")
+        if near.isEmpty():
+            return near
         members = near.select(F.col("a").alias("cls")).union(near.select("b")).distinct()
         wanted = self.classes.join(members, "cls", "left_semi").select("cls", "id")
         sets = class_sets(self.docs, wanted, self.frequencies, self.id_col, self.text_col, self.k)
@@ -407,8 +409,12 @@ class JaccardJoin:
                 "code", "cls", "n", "pos", F.coalesce("root", "cls").alias("comp"))
             open_codes = labelled.groupBy("code").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
             lists = materialize(labelled.join(open_codes.select("code"), "code", "left_semi"), "jaccard-open")
+            if lists.isEmpty():
+                break
             pairs = open_pairs(lists, self.percent, most) if most else member_pairs(lists, self.percent, across=True)
-            parts = merged(parts, self.verified(pairs))
+            links = self.verified(pairs)
+            if not links.isEmpty():
+                parts = merged(parts, links)
         return parts.select(F.col("node").alias("cls"), "root")
 
     def components(self) -> DataFrame:
