@@ -1,21 +1,24 @@
 """Licence scans with a trained paragraph classifier (operator 1).
 
-Paragraphs are the lines of a text. Features are the distinct word 1- to 3-grams that contain an
-anchor word of licence language, so a paragraph without an anchor has no feature and is always
-'none'; the scan tests that first, row by row. A multinomial logistic regression over the families
-and 'none' is fitted on notices composed from the tables below. Its scores are calibrated with a
-temperature (least log loss on held-back notices), and the least probability at which a family is
-named is the one that best separates held-back known notices from held-back notices of licences in
-no family; below it the paragraph is 'unknown', a class that is trained on other such licences. A named family is confirmed by comparing the
-paragraph's word pairs with the family's templates: shared pairs over the smaller set. Without
-confirmation it is 'unknown' too.
+Paragraphs are the lines of a text, and every line is scored. Features are its distinct word 1- to
+3-grams. A multinomial logistic regression over the families, 'unknown' and 'none' is fitted on notices
+composed from the tables below. Its scores are calibrated with a temperature (least log loss on
+held-back notices), and the least probability at which a family is named is the one that best
+separates held-back known notices from held-back notices of licences in no family; below it the
+paragraph is 'unknown', a class that is trained on other such licences and on reservations of all
+rights. A named family is confirmed by comparing the paragraph's word pairs with the family's
+templates: shared pairs over the smaller set. Without confirmation it is 'unknown' too.
+
+Grams outside the fitted vocabulary have no weight, so on tables only grams that begin with a word
+of the vocabulary are written out; the scores are the same. Lines are scored where they lie, without
+a shuffle; only lines that are not 'none' travel.
 
 Everything on the tables is DataFrame functions and ML transformers; the driver sees the composed
 notices (a few hundred rows, the same for every input) only.
 
 Defined results: NULL and empty texts are 'none'; lines of any length are classified whole; rows
-that repeat id and text are scanned once and answered alike; an empty table gives no rows; further
-columns are ignored.
+that repeat id and text are answered alike and their paragraphs counted once; an empty table gives
+no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,11 +27,6 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-ANCHORS = ("license", "licence", "licensed", "licenced", "licenses", "licences", "licensing", "licensor", "sublicense",
-           "copyright", "copyrighted", "copyleft", "warranty", "warranties", "redistribute", "redistribution",
-           "redistributions", "apache", "gnu", "gpl", "gplv3", "lgpl", "lgplv3", "agpl", "bsd", "mpl", "mozilla",
-           "creativecommons", "noncommercial", "sharealike", "cc0", "by-nc", "by-sa", "cc-by", "spdx", "unlicense", "hereby")
-
 #: Names of each family, as notices write them.
 NAMES = {
     "apache-2.0": ("the Apache License, Version 2.0", "the Apache License 2.0", "Apache-2.0", "the Apache Software License 2.0"),
@@ -67,22 +65,49 @@ CARRIERS = ("Licensed under {}.", "Released under {}.", "This work is licensed u
             "This project is available under {}.", "License: {}", "SPDX-License-Identifier: {}", "The code is published under {}.",
             "All files are covered by {}.", "Use of this text is subject to {}.")
 
+#: Shorter lines that name a licence; they only train.
+SHORT = ("Covered by {}.", "Files covered by {}", "License {}", "Available under {}", "{} licensed")
+
 #: Licences of no family here; they set the unknown class's threshold.
 OTHERS = ("the Zlib License", "the Boost Software License 1.0", "the Artistic License 2.0", "the Eclipse Public License 2.0",
           "the European Union Public Licence 1.2", "the Acme Internal Licence", "the Open Data Commons Licence", "the ISC License",
-          "the Vendor Evaluation License", "the SIL Open Font License 1.1", "the Microsoft Reference Source License")
+          "the Vendor Evaluation License", "the SIL Open Font License 1.1", "the Microsoft Reference Source License",
+          "the Q Public License", "the Community Data Licence", "the Zope Public License 2.1", "the Museum Image Licence 3",
+          "the Harbour Licence", "the Orchard Licence", "the Lantern License", "the Compass License",
+          "the Delta Licence", "the Meadow License", "the Winter License", "the Open Atlas License")
+
+#: Reservations of all rights: licence language that grants nothing, class 'unknown'.
+RESERVED = ("All rights reserved.", "All rights are reserved.", "All rights reserved by the author.", "All Rights Reserved worldwide.",
+            "Copyright 2019 by the publisher. All rights reserved.", "(c) 2021 The Company. All rights reserved.",
+            "No part of this publication may be reproduced without written permission.")
 
 PLAIN = ("He renewed his driving license in the spring.", "The public gave permission for the rights of way.",
          "An apache helicopter landed near the commons.", "She studied at MIT before moving abroad.",
          "The warranty on the kettle lasts two years.", "Creative people need public space.",
          "The copyright dispute went on for years.", "The public transport system is licensed by the city.",
          "Human rights are public rights.", "The attribution of the painting is disputed.", "We asked for permission to enter.",
-         "The pub lost its licence last year.", "Add 5 cc of water to the mix.", "The house of commons voted late.")
+         "The pub lost its licence last year.", "Add 5 cc of water to the mix.", "The house of commons voted late.",
+         "The report was released under pressure.", "The garden is covered by snow.", "The fields are covered by water and mud.",
+         "Her use of the text is subject to change.", "The house is available under the hill.", "The goods were distributed to the poor.",
+         "This project is late.", "This work is hard and the days are long.", "The code is easy to read.",
+         "The book was published by the old press.", "All people have rights.", "The seats are reserved for guests.",
+         "The version of the story is not the same.", "It was the general opinion of the public.", "You may go if you must.",
+         "Add the software to the list of conditions.", "In 2021 the company moved to the north.", "He sold 4.0 or 3 or 2.0 of it.",
+         "The international conference and the foundation met.", "The author of the source is not known.",
+         "That is what they had with them, and for the most part it was from there or as good as this.",
+         "By then all of the others have been there.", "No part of the play was written in a day.",
+         "Er kam mit dem Rad nach Hause.", "Mit der Zeit wird es besser.", "Sie sprach mit einer Frau und mit den Kindern.", "Mit.",
+         "Das ist mit und ohne Zucker gut.", "Wir fahren mit.", "Mit einem Wort, es war in der Stadt am Abend zu still.",
+         "A la casa de los padres no se va en coche.", "Il a vu un an de plus et des amis dans la rue.", "Et by by, or no.", "cc all of you")
+#: Words that say nothing by themselves; each is a training line of class 'none'.
+COMMON = ("the", "of", "and", "to", "in", "is", "it", "that", "this", "by", "a", "an", "or", "all", "are", "as", "at", "for", "from", "if",
+          "may", "mit", "must", "no", "not", "on", "under", "use", "was", "with", "you", "your", "have", "has", "be", "can", "any", "been",
+          "must give", "des", "die", "der", "en", "es", "la", "los", "que", "se", "v", "c", "s", "1", "2", "3", "4.0", "by the", "of the",
+          "in the", "to the", "this is", "it is", "you may", "you must")
 
 WORDS = r"[a-z0-9][a-z0-9.+\-/]*[a-z0-9]|[a-z0-9]"
-ANCHOR_GRAM = r"(?:^|[ /\-.+])(?:" + "|".join(ANCHORS) + r")(?:$|[ /\-.+])"
-#: True of every paragraph with an anchored gram: an anchor between characters that are no word's.
-CANDIDATE = r"(?i)(?<![a-z0-9])(?:" + "|".join(ANCHORS) + r")(?![a-z0-9])"
+#: True of every paragraph with a gram.
+CANDIDATE = r"[A-Za-z0-9]"
 MIN_SIMILARITY = 0.5
 HELD_BACK = 4                    # every fourth notice calibrates, the others train
 VOCABULARY = 4096
@@ -98,11 +123,16 @@ def word_grams(words: Column, n: int) -> Column:
         .otherwise(F.array().cast("array<string>"))
 
 
-def with_features(df: DataFrame) -> DataFrame:
-    """Adds ``words`` and the anchored n-grams (``grams``) of column ``paragraph``."""
-    df = df.withColumn("words", paragraph_words(F.col("paragraph")))
-    every = F.array_distinct(F.concat(F.col("words"), word_grams(F.col("words"), 2), word_grams(F.col("words"), 3)))
-    return df.withColumn("grams", F.filter(every, lambda g: g.rlike(ANCHOR_GRAM)))
+def with_features(df: DataFrame, first: list[str] | None = None) -> DataFrame:
+    """Adds ``words`` and the distinct word 1- to 3-grams (``grams``) of column ``paragraph``; with
+    ``first`` only the grams that begin with one of these words. Each is exploded from an array of
+    one, so that filters on it do not compute it again."""
+    df = df.withColumn("words", F.explode(F.array(paragraph_words(F.col("paragraph")))))
+    words, at = F.col("words"), F.sequence(F.lit(1), F.size("words"))
+    starts = F.filter(at, lambda i: i.between(1, F.size("words")) & (F.lit(True) if first is None else F.get(words, i - 1).isin(first)))
+    # at the end of a line the missing words are left out and the gram is a repeat
+    grams = F.transform(starts, lambda i: F.array(*[F.array_join(F.slice(words, i, n), " ") for n in (1, 2, 3)]))
+    return df.withColumn("grams", F.explode(F.array(F.array_distinct(F.flatten(grams)))))
 
 
 def notices() -> list[tuple[str, str, bool]]:
@@ -111,8 +141,14 @@ def notices() -> list[tuple[str, str, bool]]:
     known = [(c.format(n), family) for family, names in NAMES.items() for n in names for c in CARRIERS]
     out = [(p, c, i % HELD_BACK == 0) for i, (p, c) in enumerate(known)]
     out += [(s, family, False) for family, sentences in SENTENCES.items() for s in sentences for _ in range(HELD_BACK)]
-    out += [(s, "none", False) for s in PLAIN for _ in range(HELD_BACK)]
-    out += [(c.format(n), "unknown", i % 2 == 1) for i, n in enumerate(OTHERS) for c in CARRIERS]
+    # the empty line stands for lines without a known word
+    out += [(s, "none", False) for s in [*PLAIN, *COMMON, *[""] * 16]]
+    out += [(p, family, False) for family, names in NAMES.items() for n in names if " " in n for p in sorted({n, n.removeprefix("the ")})]
+    out += [(c.format(n), family, False) for family, names in NAMES.items() for n in names for c in SHORT]
+    out += [(c.format(n), "unknown", i % 2 == 1) for i, n in enumerate(OTHERS) for c in CARRIERS
+            for _ in range(1 if i % 2 else HELD_BACK)]
+    out += [(c.format(n), "unknown", False) for i, n in enumerate(OTHERS) if i % 2 == 0 for c in SHORT]
+    out += [(s, "unknown", False) for s in RESERVED for _ in range(HELD_BACK)]
     return out
 
 
@@ -134,9 +170,9 @@ class LicenseModel:
         scored = self.regression.transform(self.vectors.transform(held)).orderBy("i").select(
             "class", vector_to_array("rawPrediction").alias("raw")).collect()
         data.unpersist()
+        self.first_words = sorted({g.split(" ")[0] for g in self.vectors.vocabulary})
         self._calibrate([(r["class"], list(r["raw"])) for r in scored])
-        templates = [(name, [sorted(_pairs(t)) for t in [*(c.format(n) for n in NAMES[name] for c in CARRIERS), *SENTENCES[name]]])
-                     for name in sorted(NAMES)]
+        templates = [(name, [sorted(_pairs(t)) for t in sorted({p for p, c, _ in notices() if c == name})]) for name in sorted(NAMES)]
         self.templates = spark.createDataFrame(templates, "named string, templates array<array<string>>")
 
     def _calibrate(self, scored) -> None:
@@ -159,28 +195,38 @@ class LicenseModel:
         good = [t / 200 for t in range(1, 200) if round(balance(t / 200), 6) == best]
         self.threshold = good[len(good) // 2]
 
-    def classify(self, paragraphs: DataFrame) -> DataFrame:
-        """One row per distinct ``paragraph``: ``family`` (a family, 'unknown' or 'none'),
-        ``probability`` (calibrated, of the best family) and ``similarity`` to its templates."""
+    def scored(self, lines: DataFrame) -> DataFrame:
+        """``lines`` (column ``paragraph``) with ``named`` (the best family), ``best`` and ``none``
+        (calibrated probabilities), line by line, no shuffle."""
         from pyspark.ml.functions import vector_to_array
         families = len(self.classes) - 2
-        scored = self.regression.transform(self.vectors.transform(with_features(paragraphs.select("paragraph").distinct())))
-        scored = scored.select("paragraph", "words", "grams", vector_to_array("rawPrediction").alias("raw"))
+        scored = self.regression.transform(self.vectors.transform(with_features(lines, self.first_words)))
         e = F.transform("raw", lambda x: F.exp((x - F.array_max("raw")) / F.lit(self.temperature)))
-        scored = scored.withColumn("p", F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda a, b: a + b)))
-        scored = (scored.withColumn("best", F.array_max(F.slice("p", 1, families)))
-                  .withColumn("none", F.element_at("p", families + 2))
-                  .withColumn("named", F.element_at(F.array(*[F.lit(c) for c in self.classes]),
-                                                    F.array_position("p", F.col("best")).cast("int")))
-                  .withColumn("pairs", F.array_distinct(word_grams(F.col("words"), 2))))
+        p = F.transform("e", lambda x: x / F.aggregate("e", F.lit(0.0), lambda a, b: a + b))
+        for name, value in (("raw", vector_to_array("rawPrediction")), ("e", e), ("p", p)):
+            scored = scored.withColumn(name, F.explode(F.array(value)))
+        return (scored.withColumn("best", F.array_max(F.slice("p", 1, families)))
+                .withColumn("none", F.when(F.size("grams") == 0, F.lit(1.0)).otherwise(F.element_at("p", families + 2)))
+                .withColumn("named", F.element_at(F.array(*[F.lit(c) for c in self.classes]),
+                                                  F.array_position("p", F.col("best")).cast("int"))))
+
+    def answered(self, scored: DataFrame) -> DataFrame:
+        """Adds ``family``, ``probability`` and ``similarity`` to scored lines."""
+        pairs = F.array_distinct(word_grams(F.col("words"), 2))
         shared = F.transform("templates", lambda t: F.size(F.array_intersect(t, F.col("pairs")))
                              / F.greatest(F.lit(1), F.least(F.size(t), F.size("pairs"))))
-        family = (F.when((F.size("grams") == 0) | (F.col("none") >= 0.5), F.lit("none"))
+        family = (F.when(F.col("none") >= 0.5, F.lit("none"))
                   .when((F.col("best") < self.threshold) | (F.col("similarity") < self.min_similarity), F.lit("unknown"))
                   .otherwise(F.col("named")))
-        return (scored.join(F.broadcast(self.templates), "named").withColumn("similarity", F.array_max(shared))   # 11 rows
-                .select("paragraph", family.alias("family"), F.round("best", 6).alias("probability"),
-                        F.round("similarity", 6).alias("similarity")))
+        return (scored.withColumn("pairs", pairs).join(F.broadcast(self.templates), "named")           # 11 rows
+                .withColumn("similarity", F.array_max(shared)).withColumn("family", family)
+                .withColumn("probability", F.round("best", 6)).withColumn("similarity", F.round("similarity", 6)))
+
+    def classify(self, paragraphs: DataFrame) -> DataFrame:
+        """One row per distinct ``paragraph``: ``family`` (a family, 'unknown' or 'none'),
+        ``probability`` (calibrated, of the best family) and ``similarity`` to its templates."""
+        return self.answered(self.scored(paragraphs.select("paragraph").distinct())).select(
+            "paragraph", "family", "probability", "similarity")
 
 
 def _pairs(text: str) -> set[str]:
@@ -192,14 +238,15 @@ def _pairs(text: str) -> set[str]:
 def license_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        min_similarity: float = MIN_SIMILARITY) -> DataFrame:
     """One row per licence paragraph: id, text hash, line number, paragraph, family, probability and
-    similarity. Lines without an anchor word are 'none' by construction and do not appear."""
+    similarity. 'none' lines do not appear."""
     model = LicenseModel(docs.sparkSession, min_similarity)
     lines = (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-             .filter(F.col("text").rlike(CANDIDATE)).withColumn("text_hash", F.xxhash64("text"))
-             .dropDuplicates(["id", "text_hash"])
+             .withColumn("text_hash", F.xxhash64("text"))
              .select("id", "text_hash", F.posexplode(F.split("text", "\n")).alias("line", "paragraph"))
              .filter(F.col("paragraph").rlike(CANDIDATE)))
-    return lines.join(model.classify(lines).filter("family <> 'none'"), "paragraph")
+    found = model.scored(lines).filter((F.size("grams") > 0) & (F.col("none") < 0.5))
+    return model.answered(found).select("id", "text_hash", "line", "paragraph", "family", "probability",
+                                        "similarity").dropDuplicates(["id", "text_hash", "line"])
 
 
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -58,6 +58,24 @@ def test_license_scan_of_odd_rows(spark, docs, rows, no_docs):
     assert licenses.license_scan(no_docs).count() == 0
 
 
+def test_names_and_reserved_rights_without_licence_words(spark, model):
+    known = [(c.format(n), f) for f, names in licenses.NAMES.items() for n in names for c in licenses.CARRIERS]
+    known += [(s, f) for f, sentences in licenses.SENTENCES.items() for s in sentences]
+    got = {r.paragraph: r.family for r in model.classify(spark.createDataFrame([(p,) for p, _ in known], "paragraph string")).collect()}
+    assert [p for p, f in known if got[p] != f] == []
+    rows = [(1, "some text\nAll rights reserved."), (2, "Released under MIT."), (3, "All files are covered by CC BY 4.0."),
+            (4, "Mit."), (5, "No one knows."), (6, "Mit dem Rad nach Hause, mit dem Zug zurück.")]
+    found = {r.doc_id: (r.license, r.n_paragraphs) for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {1: ("unknown", 1), 2: ("mit", 1), 3: ("cc-by", 1), 4: ("none", 0), 5: ("none", 0), 6: ("none", 0)}
+
+
+def test_written_out_grams_keep_every_weighted_one(spark, model):
+    lines = spark.createDataFrame([(p,) for p, _, _ in licenses.notices()] + [("x under y the MIT",), ("mit",)], "paragraph string").distinct()
+    every = {r.paragraph: set(r.grams) & set(model.vectors.vocabulary) for r in licenses.with_features(lines).collect()}
+    kept = {r.paragraph: set(r.grams) & set(model.vectors.vocabulary) for r in licenses.with_features(lines, model.first_words).collect()}
+    assert kept == every and len(model.vectors.vocabulary) < licenses.VOCABULARY
+
+
 # --- fingerprints
 
 def hashed(b):
