@@ -2,6 +2,7 @@
 
 import datetime as dt
 import hashlib
+import re
 import zlib
 
 import numpy as np
@@ -132,6 +133,21 @@ def test_fingerprint_edge_cases(spark, null_ids, no_docs, docs, rows):
     assert one.near_next == 1.0 and one.edited_sha256 == hashlib.sha256(b"aba").hexdigest()
 
 
+def test_least_hash_keeps_its_position(spark):
+    hashes = [-2 ** 63, -2 ** 63 + 77, -2 ** 63 + 2 ** 32, -1, 0, 2 ** 63 - 1]
+    df = spark.createDataFrame([(i, h, lo) for i, h in enumerate(hashes) for lo in (0, 1, 4096, 2 ** 29 - 3)], "id int, h long, lo int")
+    # the gram's own hash is replaced by the column
+    grams = re.sub(r"xxhash64\(substring\(.*?, 64\)\)", "h", fingerprints.gram_numbers("b", "lo", "3", 16))
+    short = re.sub(r"xxhash64\(b\)", "h", fingerprints.window_minima("b"))
+    got = df.withColumn("b", F.expr(fingerprints.code_points("'abc'"))).withColumn("numbers", F.expr(grams)).withColumn("one", F.expr(short)[0]).select(
+        "h", "lo", F.expr(f"transform(numbers, x -> struct({fingerprints.hash_of('x')} as hash, {fingerprints.position('x')} as position))").alias("c"),
+        F.expr(fingerprints.hash_of("one")).alias("one"), F.expr(fingerprints.position("one")).alias("at")).collect()
+    for r in got:
+        upper = max(r.h >> 32, -2 ** 31 + 1)
+        assert [(c.hash, c.position) for c in r.c] == [(upper, r.lo + i) for i in range(3)]
+        assert (r.one, r.at) == (upper, 0)
+
+
 # --- quality
 
 def labelled(spark, n=900):
