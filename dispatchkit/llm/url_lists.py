@@ -6,8 +6,8 @@ and leading path segments). Per (kind, pattern) the entries become disjoint vali
 [from, to): an 'add' holds until the pattern's next entry, a 'remove' ends it; of several entries
 on one day a 'remove' wins.
 
-Each capture has a handful of keys: its host, the domains above it, and its path prefixes up to
-``depth`` segments. An as-of join evaluates every capture against the entries active at fetch time:
+Each capture has a handful of keys: its host, the domains above it, and its path prefixes up to the
+most segments that any listed prefix has. An as-of join evaluates every capture against the entries active at fetch time:
 intervals and captures meet on (kind, pattern, time bucket), where an interval is present in each
 bucket it touches, so a key compares a capture with the few intervals of one bucket and at most
 one of them holds it. Keys of a hot host are additionally salted (the intervals, which are few, are
@@ -25,7 +25,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BUCKET_DAYS = 30
-DEPTH = 3
 SALTS = 16
 FOREVER = "9999-12-31"
 
@@ -60,6 +59,12 @@ def lead_of(path: Column, depth: int) -> Column:
     return F.array_join(F.slice(F.filter(F.split(path, "/"), lambda x: x != ""), 1, depth), "/")
 
 
+def deepest(entries: DataFrame) -> int:
+    """The most path segments of any listed prefix (one row to the driver)."""
+    segments = F.size(F.split("pattern", "/")) - 1
+    return entries.filter("kind = 'prefix' and pattern is not null").agg(F.max(segments)).collect()[0][0] or 0
+
+
 def keys_of(sites: DataFrame) -> DataFrame:
     """One row per site (host, lead, fetched) and candidate key: kind, pattern, specificity."""
     labels, parts = F.split("host", r"\."), F.filter(F.split("lead", "/"), lambda x: x != "")
@@ -77,14 +82,14 @@ def keys_of(sites: DataFrame) -> DataFrame:
 
 
 def temporal_list_join(captures: DataFrame, entries: DataFrame, id_col: str = "page_id", url_col: str = "url",
-                       fetched_col: str = "fetched_on", depth: int = DEPTH, salts: int = SALTS) -> DataFrame:
+                       fetched_col: str = "fetched_on", salts: int = SALTS) -> DataFrame:
     """One row per capture: id, url, fetch date, ``blocked``, the deciding rule's ``kind``,
     ``pattern`` and ``valid_from``, and the number of rules that hold (``n_rules``).
 
     Captures of one host, leading path and date are judged once (a map-side combined distinct)."""
     c = captures.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"),
                         F.col(fetched_col).cast("date").alias("fetched"))
-    c = c.withColumn("host", url_host(F.col("url"))).withColumn("lead", lead_of(url_path(F.col("url")), depth))
+    c = c.withColumn("host", url_host(F.col("url"))).withColumn("lead", lead_of(url_path(F.col("url")), deepest(entries)))
     sites = c.filter("host is not null and fetched is not null").select("host", "lead", "fetched").distinct()
     span = c.agg(F.min("fetched").alias("lo"), F.max("fetched").alias("hi")).collect()[0]     # two dates
     lo, hi = F.lit(span["lo"]).cast("date"), F.lit(span["hi"]).cast("date")

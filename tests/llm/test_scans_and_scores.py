@@ -240,3 +240,14 @@ def test_temporal_list_join_of_nothing(spark):
     captures = spark.createDataFrame(CAPTURES, "page_id long, url string, fetched_on date")
     assert url_lists.temporal_list_join(captures.limit(0), entries).count() == 0
     assert not any(r.blocked for r in url_lists.temporal_list_join(captures, entries.limit(0)).collect())
+
+
+def test_prefixes_of_any_depth(spark):
+    deep = "h.net/a/b/c/d/e/f"
+    entries = spark.createDataFrame([("prefix", "h.net/a/b/c/d", D("2024-01-01"), "add"), ("prefix", deep, D("2024-02-01"), "add"),
+                                     ("prefix", "h.net/a", D("2024-01-01"), "add")], "kind string, pattern string, listed_on date, action string")
+    captures = spark.createDataFrame([(1, "http://h.net/a/b/c/d/x", D("2024-01-05")), (2, "http://h.net/a/b/c/x/d", D("2024-01-05")),
+                                      (3, f"http://{deep}/g?q", D("2024-03-01")), (4, f"http://{deep}", D("2024-01-05"))],
+                                     "page_id long, url string, fetched_on date")
+    got = {r.page_id: (r.pattern, r.n_rules) for r in url_lists.temporal_list_join(captures, entries).collect()}
+    assert got == {1: ("h.net/a/b/c/d", 2), 2: ("h.net/a", 1), 3: (deep, 3), 4: ("h.net/a/b/c/d", 2)}
