@@ -35,8 +35,9 @@ def powers(n: int) -> np.ndarray:
     return _power[:n]
 
 
-def words(column, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of every word, first word of each row and the total) of an Arrow string column."""
+def words(column, lower: bool = False, breaks: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of every word, first word of each row and the total) of an Arrow string column; a word
+    is a maximal run of bytes that ``breaks`` does not mark."""
     import pyarrow as pa
     import pyarrow.compute as pc
     col = pc.fill_null(column.cast(pa.large_binary()), b"")
@@ -46,7 +47,7 @@ def words(column, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     at = at - at[0]
     if lower:
         data = LOWER[data]
-    inside = ~BLANK[data]
+    inside = ~breaks[data]
     start = inside.copy()
     start[1:] &= ~inside[:-1]
     heads = at[:-1][at[:-1] < len(data)]

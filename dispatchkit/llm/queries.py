@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ans, exact_dedup, fingerprints, jaccard_join, licenses, mixing, packing, quality, substring_dedup, url_lists
+from . import (ans, brown_lm, conversation_repair, exact_dedup, fingerprints, jaccard_join, lexical_search, licenses, mixing,
+               packing, quality, substring_dedup, url_lists)
 from .common import read_table
 
 
@@ -79,6 +80,23 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return lexical_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), k=50)
+
+
+def op12_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document under a class-based bigram model."""
+    return brown_lm.lm_scores(read_table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired text of every damaged conversation."""
+    damaged = conversation_repair.damaged(read_table(spark, sf_dir, "conversations"))
+    pieces = conversation_repair.repair(damaged, absent_col="absent")
+    return conversation_repair.joined(pieces)
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_source_mix": op2_source_mix,
@@ -90,6 +108,9 @@ QUERIES = {
     "op8_url_lists": op8_url_lists,
     "op9_packing": op9_packing,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_brown_lm": op12_brown_lm,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLE = {

@@ -20,7 +20,7 @@ from dispatchkit.llm.common import materialize, read_table  # noqa: E402
 
 def test_one_query_per_operator():
     names = [k for k in entry.queries() if k.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n[2].isdigit()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n[2].isdigit()) == list(range(1, 14))
     assert "pipeline" in entry.queries()
 
 
@@ -31,7 +31,8 @@ def test_queries_equal_their_sql(spark, key):
 
 
 @pytest.mark.parametrize("key", ["op2_source_mix", "op4_jaccard_join", "op6_token_files", "op7_exact_dedup", "op9_packing",
-                                 "op10_substring_dedup", "op1_license_scan", "op3_fingerprints", "op5_quality_classifier"])
+                                 "op10_substring_dedup", "op1_license_scan", "op3_fingerprints", "op5_quality_classifier",
+                                 "op12_brown_lm"])
 def test_queries_answer_every_document(spark, key):
     ids = {r[0] for r in read_table(spark, SF_SMALL, "documents").select("doc_id").collect()}
     got = [r[0] for r in entry.queries()[key](spark, SF_SMALL).select("doc_id").collect()]
