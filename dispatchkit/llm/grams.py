@@ -59,8 +59,13 @@ def words(column, lower: bool = False, breaks: np.ndarray = BLANK) -> tuple[np.n
     letters = data[inside]
     begin = np.flatnonzero(start[inside])
     size = np.diff(np.append(begin, len(letters)))
-    place = np.arange(len(letters)) - np.repeat(begin, size)
-    h = np.add.reduceat(_BYTE[letters] * powers(int(size.max()))[place], begin)
+    narrow = np.int32 if len(letters) < 1 << 31 else np.int64      # eight bytes a letter are held at a time, not forty
+    place = np.arange(len(letters), dtype=narrow)
+    place -= np.repeat(begin.astype(narrow), size)
+    weight = powers(int(size.max()))[place]
+    del place
+    weight *= _BYTE[letters]
+    h = np.add.reduceat(weight, begin)
     return mixed(h + size.astype(np.uint64) * _GOLDEN), first
 
 

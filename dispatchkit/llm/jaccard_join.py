@@ -41,6 +41,8 @@ PERCENT = 80
 SKETCH_BITS = 22
 SLICE_BITS = 14
 CELLS = 64
+#: Text that a task hashes at a time; what it holds besides is a few dozen bytes per byte of it.
+SLICE_BYTES = 1_000_000
 PIVOTS = 8
 #: A class shares many lists with its near copies. Past this many rows of a list, only every THIN-th
 #: list pairs its rows with pivots (the last round covers all lists).
@@ -83,9 +85,10 @@ def frequency_classes(docs: DataFrame, text_col: str, k: int) -> np.ndarray:
         from .tokens import slices
         total = np.zeros(width, np.uint32)
         for batch in batches:
-            for lo, hi in slices(batch.column(0)):
+            for lo, hi in slices(batch.column(0), SLICE_BYTES):
                 g, _ = shingle_runs(batch.column(0).slice(lo, hi - lo), k)
-                total += np.bincount((g & HASH) >> np.uint64(58 - SKETCH_BITS), minlength=width).astype(np.uint32)
+                cells, n = np.unique(((g & HASH) >> np.uint64(58 - SKETCH_BITS)).astype(np.uint32), return_counts=True)
+                total[cells] += n.astype(np.uint32)
         press = zstandard.ZstdCompressor()
         used = [i for i in range(width // cut) if total[i * cut:(i + 1) * cut].any()]
         blobs = [press.compress(total[i * cut:(i + 1) * cut].tobytes()) for i in used]
@@ -140,7 +143,7 @@ def signatures(docs: DataFrame, classes: np.ndarray, id_col: str, text_col: str,
         from .tokens import slices
         seen: set[int] = set()
         for batch in batches:
-            for lo, hi in slices(batch.column(1)):
+            for lo, hi in slices(batch.column(1), SLICE_BYTES):
                 sets = code_sets(batch.column(1).slice(lo, hi - lo), classes, k)
                 cls = [set_hash(s) for s in sets]
                 prefix, cells = [], []
@@ -189,7 +192,7 @@ def prefix_lists(signed: DataFrame, percent: int) -> DataFrame:
                 n = np.repeat(np.array([n for _, _, n in part], np.int64), size)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate([x for x, _, _ in part])), pa.array(np.repeat(np.array([c for _, c, _ in part], np.int64), size)),
-                     pa.array(n << 24 | pos)], names=["code", "cls", "n_pos"])
+                     pa.array(n << 32 | pos)], names=["code", "cls", "n_pos"])
 
     def lists(batches):
         held = np.zeros((3, 0), np.int64)       # the open list's last row, once it is known whether it has company
@@ -216,7 +219,7 @@ def prefix_lists(signed: DataFrame, percent: int) -> DataFrame:
                 if at != code:
                     code, seen = at, 0
                     pivots.clear()
-                n, pos, seen = n_pos >> 24, n_pos & 0xFFFFFF, seen + 1
+                n, pos, seen = n_pos >> 32, n_pos & 0xFFFFFFFF, seen + 1
                 near = with_pivots(pivots, PIVOTS, percent, n, pos, (cls,)) if seen <= CROWD or not at % THIN else []
                 out.append((at, cls, n, pos, [x[0] for x in near]))
             shown = bool(company[-1]) if not final else False
@@ -265,7 +268,7 @@ def class_sets(docs: DataFrame, wanted: DataFrame, frequencies: np.ndarray, id_c
         seen = np.unpackbits(np.frombuffer(marks, np.uint8)).view(bool)
         for batch in batches:
             batch = batch.filter(pa.array(seen[batch.column(0).to_numpy()]))
-            for lo, hi in slices(batch.column(1)):
+            for lo, hi in slices(batch.column(1), SLICE_BYTES):
                 sets = code_sets(batch.column(1).slice(lo, hi - lo), frequencies, k)
                 yield pa.RecordBatch.from_arrays([pa.array([set_hash(s) for s in sets], pa.int64()),
                                                   pa.array([s.tobytes() for s in sets], pa.binary())], names=["cls", "codes"])
