@@ -187,3 +187,63 @@ def test_csv_text_timestamps_are_checked(spark, schemas, tmp_path):
     typed = io.scan_csv_typed(spark, p, "orders", keep_raw=True).collect()
     assert typed[0].payment_success_at == T(2026, 8, 15, 11, 1) and typed[1].payment_success_at is None
     assert [(u.column, u.text) for u in typed[1]._unconverted] == [("payment_success_at", "not a time")]
+
+
+def exchanges(df) -> int:
+    """Shuffles of a plan, reused ones not counted."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return sum("Exchange " in line and "ReusedExchange" not in line and "BroadcastExchange" not in line for line in plan.splitlines())
+
+
+@pytest.fixture()
+def shuffled_only(spark):
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield
+    for k, v in kept.items():
+        spark.conf.set(k, v)
+
+
+def test_the_suite_shuffles_twice_per_key(spark, shuffled_only):
+    assert exchanges(suite.validate(fixtures.registry(spark, SF_SMALL))) <= 20
+
+
+def test_keyed_rules_equal_their_operators(spark):
+    """The co-partitioned passes against the one-rule operators, per rule."""
+    t = fixtures.registry(spark, SF_SMALL)
+    got = {k: v for k, v in counts(suite.validate(t)).items()}
+    for rid, child, column, parent, key, optional in suite.FOREIGN_KEYS:
+        assert got.get(rid, 0) == joins.fk_orphans(t[child], t[parent], column, key, optional).count(), rid
+    assert got.get("OWN-01", 0) == joins.ownership_mismatch(t["order_items"], t["fulfilment_units"]).count()
+    assert got.get("COV-01", 0) == joins.coverage_gap(t["fulfilment_units"], t["order_items"], "fulfilment_unit_id").count()
+    mismatch = joins.state_mismatch(t["deliveries"], t["fulfilment_units"]).count()
+    assert sum(got.get(f"SM-0{i}", 0) for i in (1, 2, 3)) == mismatch
+    found = t["deliveries"].join(t["fulfilment_units"].select("fulfilment_unit_id"), "fulfilment_unit_id", "left_semi")
+    assert got.get("SM-04", 0) == joins.accepted_rider_check(found, t["rider_assignments"]).count()
+    missing = lifecycle.missing_events(t["deliveries"], t["operational_events"]).count()
+    assert sum(got.get(f"EV-0{i}", 0) for i in range(1, 7)) == missing
+
+
+def test_keyed_rules_on_missing_keys_repeated_parents_and_hot_keys(spark, schemas):
+    """Rows without a key, repeated parents (the last one counts) and one key with most of the rows."""
+    t0 = T(2024, 1, 1)
+    units = [{"fulfilment_unit_id": 1, "order_id": 7, "status": "FAILED", "assigned_to_store_at": t0},
+             {"fulfilment_unit_id": 1, "order_id": 8, "status": "COMPLETED", "assigned_to_store_at": T(2024, 1, 2)},
+             {"fulfilment_unit_id": None, "order_id": 8, "status": "CREATED"}, {"fulfilment_unit_id": 2, "order_id": 8}]
+    st = state(spark, schemas, fulfilment_units=units,
+               order_items=[{"order_item_id": i, "fulfilment_unit_id": 1, "order_id": 8} for i in range(500)]
+               + [{"order_item_id": 900, "fulfilment_unit_id": None, "order_id": 8}, {"order_item_id": 901, "fulfilment_unit_id": 1, "order_id": None},
+                  {"order_item_id": 902, "fulfilment_unit_id": 1, "order_id": 7}, {"order_item_id": 903, "fulfilment_unit_id": 99, "order_id": 7}],
+               deliveries=[{"delivery_id": 5, "fulfilment_unit_id": 1, "rider_id": 3, "status": "DELIVERED"},
+                           {"delivery_id": None, "fulfilment_unit_id": 1, "rider_id": 3, "status": "FAILED"},
+                           {"delivery_id": 6, "fulfilment_unit_id": None, "rider_id": 3, "status": "DELIVERED"}],
+               rider_assignments=[{"assignment_id": 1, "delivery_id": 5, "rider_id": 3, "response": "ACCEPTED"},
+                                  {"assignment_id": 2, "delivery_id": None, "rider_id": 3, "response": "ACCEPTED"},
+                                  {"assignment_id": 3, "delivery_id": None, "rider_id": None, "response": "ACCEPTED"}],
+               operational_events=[{"event_id": 1, "event_type": "RIDER_ASSIGNED", "delivery_id": 5, "rider_id": 3},
+                                   {"event_id": 2, "event_type": "RIDER_ASSIGNED", "delivery_id": None, "rider_id": 3}])
+    c = counts(suite.validate(st))
+    assert (c["FK-05"], c["OWN-01"], c["COV-01"], c["FK-06"]) == (2, 2, 2, 1)
+    assert (c["SM-03"], c["SM-04"], c["AE-01"]) == (1, 1, 1) and "SM-01" not in c
+    assert (c["EV-01"], c["EV-05"], c["EV-06"], c["FK-08"]) == (1, 2, 1, 2)
