@@ -46,7 +46,36 @@ def q_write_csv_ordered(spark, sf):
 @query("scan_csv_typed", section="SRC-1", oracle="SELECT " + ", ".join(
     f"cast({c} as varchar) AS {c}" if c in ID_COLS else c for c in DELIVERY_COLS) + " FROM qc_deliveries")
 def q_scan_csv_typed(spark, sf):
-    return io.scan_csv_typed(spark, _written_deliveries(spark, sf), "deliveries")
+    """A folder whose files differ in column order, each bound by its own header."""
+    d = qc(spark, sf, "deliveries")
+    odd = F.pmod(F.xxhash64("delivery_id"), F.lit(2)) == 1
+    path = scratch_path(spark, "deliveries-mixed")
+    io.write_csv_ordered(d.filter(~odd), f"{path}/a", "deliveries")
+    io.write_csv_ordered(d.filter(odd), f"{path}/b", cols=DELIVERY_COLS[::-1])
+    return io.scan_csv_typed(spark, path, "deliveries")
+
+
+_SHORT, _LONG = "delivery_id % 53 = 4", "delivery_id % 59 = 6"
+
+
+@query("scan_csv_malformed", section="SRC-1", oracle=f"""
+SELECT CASE WHEN {_SHORT} THEN 'short' ELSE 'long' END AS kind, cast(delivery_id as varchar) AS delivery_id, status
+FROM qc_deliveries WHERE delivery_id IS NOT NULL AND ({_SHORT} OR {_LONG})""")
+def q_scan_csv_malformed(spark, sf):
+    """Rows with too few or too many fields in a folder of CSV files: each is reported with its line."""
+    names = ["delivery_id", "status", "fulfilment_unit_id", "rider_id"]
+    d = qc(spark, sf, "deliveries").filter("delivery_id is not null").withColumn("file", F.col("delivery_id") % 4)
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in names]
+    line = F.when(F.expr(_SHORT), F.concat_ws(",", *fields[:2])).when(F.expr(_LONG), F.concat_ws(",", *fields, F.lit("x"))).otherwise(
+        F.concat_ws(",", *fields))
+    heads = spark.range(4).select(F.col("id").alias("file"), F.lit(0).alias("at"), F.lit(",".join(names)).alias("line"))
+    lines = heads.unionByName(d.select(F.col("file").cast("long"), F.lit(1).alias("at"), line.alias("line")))
+    path = scratch_path(spark, "malformed-csv")
+    (lines.repartition("file").sortWithinPartitions("file", "at").select("file", "line").write.partitionBy("file").text(path))
+    odd = io.malformed_rows(spark, path, "deliveries")
+    part = F.split("line", ",", -1)
+    return odd.select(F.when(F.size(part) < len(names), "short").otherwise("long").alias("kind"), part[0].alias("delivery_id"),
+                      F.nullif(part[1], F.lit("")).alias("status"))
 
 
 @query("require_datasets", section="SRC-2", oracle="\nUNION ALL\n".join(

@@ -7,6 +7,7 @@ Hadoop FileSystem, never the local disk.
 
 from __future__ import annotations
 
+import csv
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -34,25 +35,64 @@ def require_datasets(spark: SparkSession, paths: dict[str, str]) -> None:
         raise FileNotFoundError("missing input datasets: " + ", ".join(missing))
 
 
-def csv_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names as the file's header has them."""
-    return spark.read.option("header", "true").csv(path).columns
+def csv_headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The headers of a CSV file or folder, each with the files that have it. Only the first line of
+    every file is read, beside the listing that any scan of the folder makes. Files without a line
+    have no rows and are left out."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(spark.read.option("recursiveFileLookup", "true").text(path).inputFiles()):
+        p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(p)
+        stream = p.getFileSystem(conf).open(p)
+        try:
+            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(
+                codec.createInputStream(stream) if codec is not None else stream, "UTF-8"))
+            line = reader.readLine()
+        finally:
+            stream.close()
+        if line is not None:
+            names = next(csv.reader([line.removeprefix("\ufeff")], escapechar="\\"), []) or [""]
+            found.setdefault(tuple(names), []).append(file)
+    return found
 
 
 def scan_csv_text(spark: SparkSession, path: str, dataset: str) -> DataFrame:
-    """The declared columns as text, bound by the header's names whatever their order; '' is
-    NULL. Declared columns that the file lacks are NULL (``header_issues`` names them)."""
-    found = spark.read.option("header", "true").option("mode", "PERMISSIVE").csv(path)
-    names = set(found.columns)
-    return found.select(*[(empty_to_null(F.col(f"`{c}`")) if c in names else F.lit(None).cast("string")).alias(c)
-                          for c in columns(dataset)])
+    """The declared columns as text, '' as NULL. Every file is bound by its own header: files are
+    grouped by header and each group is one scan, so a folder may mix column orders. Declared columns
+    that a header lacks are NULL there (``header_issues`` names them). ``_malformed`` is the whole line
+    of a row whose number of fields is not its header's (NULL otherwise), ``_file`` the row's file."""
+    parts = []
+    for names, files in csv_headers(spark, path).items():
+        # positions as names: a header may repeat a name or hold any text
+        places = T.StructType([*[T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))],
+                               T.StructField("_line", T.StringType())])
+        # the fields' number is only checked if all fields are read: nothing of each is part of the line
+        malformed = F.concat("_line", F.substring(F.concat_ws("", *[f"_c{i}" for i in range(len(names))]), 1, 0))
+        rows = (spark.read.schema(places).option("header", "true").option("mode", "PERMISSIVE")
+                .option("columnNameOfCorruptRecord", "_line").csv(files))
+        parts.append(rows.select(*[(empty_to_null(F.col(f"_c{names.index(c)}")) if c in names else F.lit(None).cast("string")).alias(c)
+                                   for c in columns(dataset)], malformed.alias("_malformed"), F.col("_metadata.file_path").alias("_file")))
+    if not parts:
+        none = T.StructType([T.StructField(c, T.StringType()) for c in [*columns(dataset), "_malformed", "_file"]])
+        return spark.createDataFrame([], none)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def malformed_rows(spark: SparkSession, path: str, dataset: str) -> DataFrame:
+    """The rows of a CSV file or folder with too few or too many fields: file and whole line."""
+    return scan_csv_text(spark, path, dataset).filter("_malformed is not null").select(
+        F.lit(dataset).alias("dataset"), F.col("_file").alias("file"), F.col("_malformed").alias("line"))
 
 
 def header_issues(spark: SparkSession, path: str, dataset: str) -> list[tuple]:
-    """Missing and extra columns of a CSV file: (dataset, column, issue)."""
-    found, declared = csv_header(spark, path), columns(dataset)
-    return ([(dataset, c, "missing") for c in declared if c not in found]
-            + [(dataset, c, "extra") for c in found if c not in declared])
+    """Missing, extra and repeated columns of any header of a CSV file or folder: (dataset, column, issue)."""
+    declared, out = columns(dataset), {}
+    for names in csv_headers(spark, path):
+        out |= dict.fromkeys([*[(dataset, c, "missing") for c in declared if c not in names],
+                              *[(dataset, c, "extra") for c in names if c not in declared],
+                              *[(dataset, c, "repeated") for i, c in enumerate(names) if c in names[:i]]])
+    return list(out)
 
 
 def _converted(text: Column, kind: T.DataType) -> Column:
@@ -64,10 +104,12 @@ def _converted(text: Column, kind: T.DataType) -> Column:
 
 
 def scan_csv_typed(spark: SparkSession, path: str, dataset: str, keep_raw: bool = False) -> DataFrame:
-    """SRC-1: a header CSV typed to its declared schema. No row and no value goes silently: text
-    that does not convert is NULL in its column and kept with its name in ``_unconverted`` (an array
-    of column and text, empty for clean rows) when ``keep_raw`` is set, which also keeps the text of
-    every timestamp as ``_raw_<column>`` for rules TS-*; without it such text raises."""
+    """SRC-1: a header CSV, or a folder of them, typed to its declared schema. No row and no value goes
+    silently: text that does not convert is NULL in its column and kept with its name in
+    ``_unconverted`` (an array of column and text, empty for clean rows) when ``keep_raw`` is set, and a
+    row with too few or too many fields keeps its whole line in ``_malformed``; ``keep_raw`` also
+    keeps the text of every timestamp as ``_raw_<column>`` for rules TS-*. Without it such text and such
+    rows raise."""
     text = scan_csv_text(spark, path, dataset)
     kinds = dict(DECLARED[dataset][1])
     bad = F.filter(F.array(*[F.when(F.col(c).isNotNull() & _converted(F.col(c), k).isNull(),
@@ -75,8 +117,10 @@ def scan_csv_typed(spark: SparkSession, path: str, dataset: str, keep_raw: bool
                              for c, k in kinds.items()]), lambda x: x.isNotNull())
     if keep_raw:
         return text.select(*[_converted(F.col(c), k).alias(c) for c, k in kinds.items()],
-                           *[F.col(c).alias("_raw_" + c) for c in timestamp_columns(dataset)], bad.alias("_unconverted"))
-    return text.select(*[F.when(F.col(c).isNotNull() & _converted(F.col(c), k).isNull(), F.raise_error(F.concat(
+                           *[F.col(c).alias("_raw_" + c) for c in timestamp_columns(dataset)], bad.alias("_unconverted"), "_malformed")
+    whole = text.filter(F.when(F.col("_malformed").isNull(), F.lit(True)).otherwise(F.raise_error(F.concat(
+        F.lit(f"{dataset}: fields do not fit the header: "), F.col("_malformed"))).cast("boolean")))
+    return whole.select(*[F.when(F.col(c).isNotNull() & _converted(F.col(c), k).isNull(), F.raise_error(F.concat(
         F.lit(f"{dataset}.{c} does not convert: "), F.col(c))).cast(k)).otherwise(_converted(F.col(c), k)).alias(c)
         if not isinstance(k, T.StringType) else F.col(c) for c, k in kinds.items()])
 

@@ -117,3 +117,45 @@ def test_schema_conformance(spark):
     assert ("longitude", "missing") in issues
     ok = spark.createDataFrame([], io.struct_type("stores"))
     assert io.schema_conformance(ok, "stores", check_types=True) == []
+
+
+def write_lines(folder, **files):
+    os.makedirs(folder)
+    for name, lines in files.items():
+        with open(os.path.join(folder, f"{name}.csv"), "w") as f:
+            f.write("".join(line + "\n" for line in lines))
+
+
+def test_every_file_is_bound_by_its_own_header(spark):
+    folder = scratch_path(spark, "t-headers").removeprefix("file:")
+    write_lines(folder, a=["store_id,store_name,latitude,longitude,status", "1,one,1.5,2.5,OPEN", '2,"t,w""o",,,'],
+                b=["status,longitude,latitude,store_name,store_id", "SHUT,8.5,9.5,seven,7"],
+                c=["store_id,note,store_id", "3,x,4"], d=["store_id,store_name"], e=[])
+    names = io.columns("stores")
+    got = {r.store_id: r for r in io.scan_csv_typed(spark, folder, "stores", keep_raw=True).collect()}
+    assert set(got) == {"1", "2", "3", "7"} and all(r["_malformed"] is None and not r["_unconverted"] for r in got.values())
+    assert (got["7"].store_name, got["7"].status) == ("seven", "SHUT") and (got["1"].store_name, got["1"].status) == ("one", "OPEN")
+    if "latitude" in names:
+        assert (got["7"].latitude, got["7"].longitude) == (9.5, 8.5) and got["2"].latitude is None
+    assert got["3"].store_name is None and got["3"].status is None
+    issues = io.header_issues(spark, folder, "stores")
+    assert ("stores", "note", "extra") in issues and ("stores", "store_id", "repeated") in issues and ("stores", "status", "missing") in issues
+    assert len(io.csv_headers(spark, folder)) == 4
+
+
+def test_rows_with_too_few_or_too_many_fields_are_reported(spark):
+    folder = scratch_path(spark, "t-odd").removeprefix("file:")
+    head = ",".join(io.columns("stores"))
+    full = ["1", *[""] * (len(io.columns("stores")) - 1)]
+    write_lines(folder, a=[head, ",".join(full), "2", ",".join(["3", *full[1:], "more"])],
+                b=[",".join(reversed(io.columns("stores"))), ",".join(reversed(full))])
+    odd = sorted((r.line, os.path.basename(r.file)) for r in io.malformed_rows(spark, folder, "stores").collect())
+    assert odd == [("2", "a.csv"), (",".join(["3", *full[1:], "more"]), "a.csv")]
+    kept = io.scan_csv_typed(spark, folder, "stores", keep_raw=True)
+    assert sorted(r.store_id for r in kept.collect()) == ["1", "1", "2", "3"]
+    assert kept.filter("_malformed is not null").count() == 2
+    with pytest.raises(Exception, match="do not fit the header"):
+        io.scan_csv_typed(spark, folder, "stores").count()
+    empty = scratch_path(spark, "t-none").removeprefix("file:")
+    write_lines(empty, a=[])
+    assert io.scan_csv_typed(spark, empty, "stores").count() == 0
