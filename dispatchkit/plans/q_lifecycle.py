@@ -154,7 +154,7 @@ def _band_sql(a: str, s: str, lo_mult: float, mid_mult: float) -> str:
             f"WHEN {r} < 0.75 THEN cast({mid_mult} as double) ELSE cast(1.0 as double) END)")
 
 
-@query("pick_workload", section="LC-5", oracle=asof_sql() + f""",
+PICK_SQL = asof_sql() + f""",
 c AS (SELECT fulfilment_unit_id, count(*) AS item_count FROM qc_order_items GROUP BY fulfilment_unit_id),
 b AS (
   SELECT a.*, c.item_count, u.picking_completed_at,
@@ -171,7 +171,22 @@ SELECT fulfilment_unit_id, store_id, item_count, staffing_snapshot_id, asof_matc
             THEN cast(trunc(cast(90 + coalesce(item_count, 0) * 40 + 120 as double) * band) as bigint) END AS max_pick_s,
        date_diff('second', picking_started_at, picking_completed_at) AS actual_pick_s
 FROM b
-""")
+"""
+
+
+@query("pick_seconds", section="SC-11", oracle=f"""
+SELECT fulfilment_unit_id, item_count, min_pick_s, max_pick_s, actual_pick_s,
+       (actual_pick_s < min_pick_s OR actual_pick_s > max_pick_s) AS outside_bounds
+FROM ({PICK_SQL}) w WHERE item_count IS NOT NULL""")
+def q_pick_seconds(spark, sf):
+    """The pick time that a unit's own items and its store's staff explain, against the measured one."""
+    w = lc.pick_workload(qc(spark, sf, "fulfilment_units"), qc(spark, sf, "order_items"), qc(spark, sf, "store_staffing"))
+    out = (F.col("actual_pick_s") < F.col("min_pick_s")) | (F.col("actual_pick_s") > F.col("max_pick_s"))
+    return w.filter("item_count is not null").select("fulfilment_unit_id", "item_count", "min_pick_s", "max_pick_s",
+                                                     "actual_pick_s", out.alias("outside_bounds"))
+
+
+@query("pick_workload", section="LC-5", oracle=PICK_SQL)
 def q_pick_workload(spark, sf):
     return lc.pick_workload(qc(spark, sf, "fulfilment_units"), qc(spark, sf, "order_items"),
                             qc(spark, sf, "store_staffing"))

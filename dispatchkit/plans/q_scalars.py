@@ -156,21 +156,6 @@ def q_not_before(spark, sf):
                     tsf.not_before("assigned_to_store_at", "payment_success_at", 30).alias("earliest_assign_at"))
 
 
-@query("pick_seconds", section="SC-11", oracle=f"""
-SELECT staffing_snapshot_id, 1 + staffing_snapshot_id % 12 AS item_count,
-       cast(trunc(cast(90 + (1 + staffing_snapshot_id % 12) * 20 as double)
-                  * {_band_sql('pickers_available', 'pickers_scheduled', 1.35, 1.15)}) as bigint) AS min_pick_s,
-       cast(trunc(cast(90 + (1 + staffing_snapshot_id % 12) * 40 + 120 as double)
-                  * {_band_sql('pickers_available', 'pickers_scheduled', 1.35, 1.15)}) as bigint) AS max_pick_s
-FROM qc_store_staffing
-""")
-def q_pick_seconds(spark, sf):
-    s = qc(spark, sf, "store_staffing").withColumn("item_count", 1 + F.col("staffing_snapshot_id") % 12)
-    lo = stf.pick_seconds("item_count", "pickers_available", "pickers_scheduled", 20, 0)
-    hi = stf.pick_seconds("item_count", "pickers_available", "pickers_scheduled", 40, 120)
-    return s.select("staffing_snapshot_id", "item_count", lo.alias("min_pick_s"), hi.alias("max_pick_s"))
-
-
 @query("pack_seconds", section="SC-12", oracle=f"""
 SELECT staffing_snapshot_id,
        cast(trunc(cast(60 as double) * {_band_sql('packers_available', 'packers_scheduled', 1.3, 1.15)}) as bigint)
