@@ -169,3 +169,86 @@ def q_publish_gated(spark, sf):
     res = io.publish_gated(spark, tables, suite.validate(tables), scratch_path(spark, "published"))
     return spark.createDataFrame([(res["n_errors"], res["passed"], res["published"])],
                                  "n_errors bigint, passed boolean, published boolean")
+
+
+def _month(c: str, n: int = 0) -> str:
+    return f"strftime({c} + INTERVAL {n} MONTH, '%Y-%m')"
+
+
+@query("publish_partitions", section="SNK-3", oracle=f"""
+WITH d AS (SELECT date_trunc('month', delivered_at) AS m, delivery_distance AS km FROM qc_deliveries WHERE delivered_at IS NOT NULL),
+b AS (SELECT min(m) AS f FROM d)
+SELECT {_month('m')} AS month, count(*) AS n_delivered,
+       cast(sum(cast(round((km + CASE WHEN {_month('m')} = {_month('f', 1)} THEN 1.0 ELSE 0.0 END) * 100, 0) as bigint)) as bigint) AS total_centikm
+FROM d, b WHERE {_month('m')} BETWEEN {_month('f', 1)} AND {_month('f', 18)} AND {_month('m')} <> {_month('f', 2)} GROUP BY 1""")
+def q_publish_partitions(spark, sf):
+    """Deliveries partitioned by month; one month is published again with corrected rows, one is emptied,
+    and a range of months is read back (only its partitions are scanned)."""
+    d = qc(spark, sf, "deliveries").filter("delivered_at is not null").select(
+        "delivery_id", "delivery_distance", F.date_format("delivered_at", "yyyy-MM").alias("month"))
+    path = scratch_path(spark, "deliveries-by-month")
+    io.publish_partitions(d, path, "month")
+
+    def later(n):
+        return F.date_format(F.add_months(F.to_date(F.min("month"), "yyyy-MM"), n), "yyyy-MM")
+
+    second, third, last = spark.read.parquet(path).agg(later(1), later(2), later(18)).collect()[0]
+    fixed = d.filter(F.col("month") == second).withColumn("delivery_distance", F.col("delivery_distance") + F.lit(1.0))
+    io.publish_partitions(fixed, path, "month", touched=[second, third])
+    back = spark.read.parquet(path).filter(F.col("month").between(second, last))
+    return back.groupBy("month").agg(F.count(F.lit(1)).alias("n_delivered"), F.sum(
+        F.round(F.col("delivery_distance") * 100, 0).cast("bigint")).alias("total_centikm"))
+
+
+def _once(table: str, key: str) -> str:
+    return f"SELECT {key} FROM qc_{table} WHERE {key} IS NOT NULL GROUP BY 1 HAVING count(*) = 1"
+
+
+def _clean_sql() -> str:
+    from ..quality.rules import rules_for
+    broken = {t: " OR ".join(f"coalesce({r.condition}, false)" for r in rules_for(t, ("row",))) or "false" for t in ("orders", "store_staffing")}
+    kept = {
+        "customers": f"qc_customers WHERE customer_id IN ({_once('customers', 'customer_id')})",
+        "stores": f"qc_stores WHERE store_id IN ({_once('stores', 'store_id')})",
+        "riders": f"qc_riders WHERE rider_id IN ({_once('riders', 'rider_id')})",
+        "orders": f"qc_orders WHERE order_id IN ({_once('orders', 'order_id')}) AND NOT ({broken['orders']}) "
+                  f"AND customer_id IN ({_once('customers', 'customer_id')})",
+        "store_staffing": f"qc_store_staffing WHERE staffing_snapshot_id IN ({_once('store_staffing', 'staffing_snapshot_id')}) "
+                          f"AND NOT ({broken['store_staffing']}) AND store_id IN ({_once('stores', 'store_id')})",
+    }
+    from ..quality.keys import UNIQUE_ORDER
+    return "\nUNION ALL\n".join(f"SELECT '{t}' AS dataset, true AS published, " + (
+        f"count(*) AS n_rows FROM {kept[t]}" if t in kept else "0 AS n_rows") for t in UNIQUE_ORDER)
+
+
+def clean_part(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Rows of the master tables, orders and staffing that break no rule, in declared columns (those that
+    the supplied data does not fill are NULL); the other tables empty."""
+    from ..sources.schemas import key_of
+    out = {}
+    for t, df in tables.items():
+        d = df.select(*[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                        for f in io.struct_type(t)])
+        if t not in ("customers", "stores", "riders", "orders", "store_staffing"):
+            out[t] = d.limit(0)
+            continue
+        k = key_of(t)
+        single = d.groupBy(k).agg(F.count(F.lit(1)).alias("_n")).filter("_n = 1").select(k)
+        checked = suite.row_violations(d, t, set())
+        out[t] = checked.filter(F.size("_violations") == 0).select(*d.columns).join(single, k, "left_semi")
+    out["orders"] = out["orders"].join(out["customers"].select("customer_id"), "customer_id", "left_semi").select(*declared_columns("orders"))
+    out["store_staffing"] = out["store_staffing"].join(out["stores"].select("store_id"), "store_id", "left_semi").select(
+        *declared_columns("store_staffing"))
+    return out
+
+
+@query("publish_clean", section="SNK-2", oracle=_clean_sql())
+def q_publish_clean(spark, sf):
+    """A publication that passes the gate: written, made current, and read back through the pointer."""
+    tables = clean_part(registry(spark, sf))
+    target = scratch_path(spark, "published-clean")
+    res = io.publish_gated(spark, tables, suite.validate(tables), target, "parquet")
+    parts = [io.read_published(spark, target, t, "parquet").agg(F.count(F.lit(1)).alias("n_rows")) if res["published"]
+             else spark.createDataFrame([(0,)], "n_rows bigint") for t in tables]
+    return reduce(DataFrame.unionByName, [p.select(F.lit(t).alias("dataset"), F.lit(res["published"]).alias("published"), "n_rows")
+                                          for t, p in zip(tables, parts)])

@@ -265,3 +265,40 @@ def publish_gated(spark: SparkSession, tables: dict[str, DataFrame], violations:
 def write_curated(df: DataFrame, path: str, partition_by: list[str]) -> None:
     """SNK-3 (tables): columnar output partitioned for pruning (e.g. by date)."""
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+
+
+def publish_partitions(df: DataFrame, path: str, column: str, touched: list | None = None) -> None:
+    """SNK-3, incremental: replace just the partitions of ``column`` that ``df`` has rows for (dynamic
+    partition overwrite), one writer per partition value and 128 MB or so of it. Values in ``touched``
+    that have no rows any more lose their partition; all others stay as they are."""
+    spark = df.sparkSession
+    (df.hint("rebalance", F.col(column)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(column).parquet(path))
+    if touched:
+        left = {r[0] for r in df.filter(F.col(column).isin(touched)).select(F.col(column).cast("string")).distinct().collect()}
+        for value in touched:
+            fs, p = _fs(spark, f"{path}/{column}={value}")
+            if str(value) not in left and fs.exists(p):
+                fs.delete(p, True)
+
+
+def read_published(spark: SparkSession, target: str, dataset: str, fmt: str = "csv") -> DataFrame | None:
+    """SNK-2, reader: a table of the run that is current now; a publication that ends later does not change
+    what this DataFrame reads. None before the first publication."""
+    run = read_pointer(spark, f"{target.rstrip('/')}/_CURRENT")
+    if run is None:
+        return None
+    return scan_csv_typed(spark, f"{run}/{dataset}", dataset) if fmt == "csv" else spark.read.parquet(f"{run}/{dataset}")
+
+
+def retire_runs(spark: SparkSession, target: str, keep: int) -> list[str]:
+    """Delete published runs but the newest ``keep`` and the current one; readers of those lose nothing.
+    Returns the deleted paths."""
+    fs, base = _fs(spark, target)
+    current = read_pointer(spark, f"{target.rstrip('/')}/_CURRENT")
+    runs = sorted((x for x in fs.listStatus(base) if x.isDirectory() and x.getPath().getName().startswith("run-")),
+                  key=lambda x: (-x.getModificationTime(), x.getPath().getName()))
+    gone = [x.getPath() for x in runs[keep:] if x.getPath().getName() != (current or "").rstrip("/").rsplit("/", 1)[-1]]
+    for p in gone:
+        fs.delete(p, True)
+    return [str(p) for p in gone]

@@ -159,3 +159,32 @@ def test_rows_with_too_few_or_too_many_fields_are_reported(spark):
     empty = scratch_path(spark, "t-none").removeprefix("file:")
     write_lines(empty, a=[])
     assert io.scan_csv_typed(spark, empty, "stores").count() == 0
+
+
+def test_only_touched_partitions_are_replaced_and_reads_are_pruned(spark):
+    rows = [(i, d) for i, d in enumerate(["2024-01-01", "2024-01-01", "2024-01-02", "2024-01-03"])]
+    df = spark.createDataFrame(rows, "id long, day string")
+    path = scratch_path(spark, "t-days")
+    io.publish_partitions(df, path, "day")
+    before = {r.f for r in spark.read.parquet(path).filter("day = '2024-01-01'").select(F.input_file_name().alias("f")).collect()}
+    io.publish_partitions(spark.createDataFrame([(9, "2024-01-02")], "id long, day string"), path, "day", ["2024-01-02", "2024-01-03"])
+    back = spark.read.parquet(path)
+    assert sorted(r.id for r in back.collect()) == [0, 1, 9]
+    assert {r.f for r in back.filter("day = '2024-01-01'").select(F.input_file_name().alias("f")).collect()} == before
+    plan = back.filter("day = '2024-01-02'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+
+
+def test_readers_keep_their_snapshot_and_old_runs_are_retired(spark):
+    clean = clean_tables(spark)
+    target = scratch_path(spark, "t-snap")
+    assert io.read_published(spark, target, "stores") is None
+    first = io.publish_gated(spark, clean, suite.validate(clean), target, "parquet")
+    reader = io.read_published(spark, target, "order_items", "parquet")
+    more = {**clean, "order_items": clean["order_items"].withColumn("quantity", F.lit(5).cast(clean["order_items"].schema["quantity"].dataType))}
+    second = io.publish_gated(spark, more, suite.validate(more), target, "parquet")
+    assert [r.quantity for r in reader.collect()] == [2]
+    assert [r.quantity for r in io.read_published(spark, target, "order_items", "parquet").collect()] == [5]
+    gone = io.retire_runs(spark, target, 1)
+    assert len(gone) == 1 and gone[0].endswith(first["run_path"].rsplit("/", 1)[-1])
+    assert io.path_exists(spark, second["run_path"]) and not io.path_exists(spark, first["run_path"])
