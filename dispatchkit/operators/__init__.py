@@ -1,2 +1,3 @@
 """DataFrame operators: each takes DataFrames (plus column names / parameters) and
-returns a lazily planned DataFrame. No actions, no collects, no Python UDFs."""
+returns a lazily planned DataFrame. No collects, no Python UDFs; the one that runs a job at once is
+``ordered.sequential_number`` (and what numbers events with it), which checkpoints."""
