@@ -88,9 +88,32 @@ def running_max_before(df: DataFrame, key, order: list[str], value: str, bucket:
                     F.greatest(F.col("_max_in"), F.col("_carry")).alias(out))
 
 
+SPLITS = 256
+
+
+def adaptive_bucket(df: DataFrame, key: str, time: str, width_seconds: int, most: int, out: str) -> DataFrame:
+    """Add a two-level bucket, monotonic in time within a key: the time bucket, and within one that holds
+    more than ``most`` rows of a key the number of its approximate time quantiles at or before the row's
+    time, as many as its measured count asks for (at most ``SPLITS``). The counts are one aggregate over
+    narrow rows; quantiles are only taken where a bucket is too full, and AQE broadcasts their table when
+    it is small. Rows of one key and one exact time stay together."""
+    from ..functions.timestamps import epoch_micros
+    d = df.withColumn("_wide", time_bucket(time, width_seconds)).withColumn("_at", epoch_micros(F.col(time)))
+    full = d.groupBy(key, "_wide").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > most).select(
+        F.col(key).alias("_fk"), F.col("_wide").alias("_fw"), "_n")
+    same = F.col(key).eqNullSafe(F.col("_fk")) & (F.col("_wide") == F.col("_fw"))
+    cuts = d.select(key, "_wide", "_at").join(full, same).groupBy("_fk", "_fw").agg(
+        F.percentile_approx("_at", [i / SPLITS for i in range(1, SPLITS)], 10000).alias("_cuts"), F.max("_n").alias("_n"))
+    step = F.greatest(F.lit(1), F.floor(F.lit(SPLITS) * F.lit(most) / F.col("_n")).cast("int"))
+    cuts = cuts.select("_fk", "_fw", F.filter("_cuts", lambda _, i: (i + 1) % step == 0).alias("_cuts"))
+    at = F.size(F.filter(F.coalesce("_cuts", F.array().cast("array<bigint>")), lambda c: c <= F.col("_at")))
+    bucket = F.when(F.col("_wide").isNotNull(), F.struct(F.col("_wide").alias("wide"), at.alias("at")))
+    return d.join(cuts, same, "left").select(*df.columns, bucket.alias(out))
+
+
 def asof_latest(probe: DataFrame, build: DataFrame, key: str, probe_time: str, build_time: str,
                 build_tiebreak: str, payload: list[str], width_seconds: int = DEFAULT_BUCKET_SECONDS,
-                fallback_earliest: bool = True, prefix: str = "") -> DataFrame:
+                fallback_earliest: bool = True, prefix: str = "", most_per_bucket: int | None = None) -> DataFrame:
     """As-of join: for each probe row, the build row of the same key with the greatest
     ``(build_time, build_tiebreak)`` such that ``build_time <= probe_time``. With
     ``fallback_earliest`` a probe before every build row takes the earliest build row
@@ -99,7 +122,8 @@ def asof_latest(probe: DataFrame, build: DataFrame, key: str, probe_time: str, b
 
     Plan: one union of both sides shuffled on (key, day bucket); a window per bucket;
     a per-bucket summary windowed per key for the carry-in; one per-key aggregate for the
-    fallback. No pairs are formed, so cost is O(probe + build) whatever the skew.
+    fallback. No pairs are formed, so cost is O(probe + build) whatever the skew. With
+    ``most_per_bucket`` a day of one key with more rows is split further (``adaptive_bucket``).
     """
     pcols = probe.columns
     pl = F.struct(F.col(build_tiebreak).alias("_tb"), *[F.col(c).alias(c) for c in payload])
@@ -111,16 +135,20 @@ def asof_latest(probe: DataFrame, build: DataFrame, key: str, probe_time: str, b
     bld = build.filter(F.col(build_time).isNotNull() & F.col(key).isNotNull())
     bb = bld.select(F.col(key).alias("_k"), F.col(build_time).alias("_t"), F.lit(0).alias("_side"),
                     F.col(build_tiebreak).alias("_ord"), pl.alias("_pl"), null_probe.alias("_probe"))
-    u = p.unionByName(bb).withColumn("_b", time_bucket("_t", width_seconds))
+    u = p.unionByName(bb)
+    u = (adaptive_bucket(u, "_k", "_t", width_seconds, most_per_bucket, "_b") if most_per_bucket
+         else u.withColumn("_b", time_bucket("_t", width_seconds)))
     order = [F.col("_t"), F.col("_side"), F.col("_ord")]
     w_in = Window.partitionBy("_k", "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     u = u.withColumn("_in", F.last("_pl", ignorenulls=True).over(w_in))
     # carry-in: the last build row of each (key, bucket) - an aggregate over the build side
     # only - plus one row per (key, bucket) that holds probes (a narrow hash aggregate), so
     # a bucket with probes but no build row still receives the carry
-    bsum = (bb.withColumn("_b", time_bucket("_t", width_seconds)).groupBy("_k", "_b")
+    sides = ((u.filter("_side = 0"), u.filter("_side = 1").select("_k", "_b")) if most_per_bucket else
+             (bb.withColumn("_b", time_bucket("_t", width_seconds)), p.select("_k", time_bucket("_t", width_seconds).alias("_b"))))
+    bsum = (sides[0].groupBy("_k", "_b")
             .agg(F.max_by("_pl", F.struct(F.col("_t"), F.col("_ord"))).alias("_blast")))
-    pkeys = (p.select("_k", time_bucket("_t", width_seconds).alias("_b")).filter(F.col("_b").isNotNull())
+    pkeys = (sides[1].filter(F.col("_b").isNotNull())
              .distinct().withColumn("_blast", F.lit(None).cast(bsum.schema["_blast"].dataType)))
     summ = bsum.unionByName(pkeys).groupBy("_k", "_b").agg(F.max("_blast").alias("_blast"))
     w_b = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)

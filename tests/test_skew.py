@@ -52,3 +52,27 @@ def test_quantile_buckets_split_the_hot_key(spark):
     b = quantile_bucket(d, "rider_id", "delivery_started_at", n=8)
     sizes = [r["count"] for r in b.groupBy("_qbucket").count().collect()]
     assert len(sizes) >= 6 and max(sizes) <= 2 * d.count() / 8
+
+
+def test_asof_splits_one_dense_day_of_one_key(spark):
+    """Every row on one key and one day: the answer is that of the plain day bucket and of brute force."""
+    from dispatchkit.operators.ordered import adaptive_bucket, asof_latest
+    at = lambda c: (F.lit("2024-03-01").cast("timestamp_ntz") + F.make_dt_interval(secs=c.cast("decimal(18,6)")))
+    probe = spark.range(4000).select(F.col("id").alias("probe_id"), F.lit(1).alias("k"), at(F.col("id") * 7919 % 86400).alias("pt"))
+    probe = probe.unionByName(spark.createDataFrame([(9000, 1, None), (9001, None, None), (9002, 2, None)],
+                                                    "probe_id long, k int, pt timestamp_ntz"))
+    build = spark.range(500).select(F.col("id").alias("bid"), F.lit(1).alias("k"), at(F.col("id") * 104729 % 80000 + 3000).alias("bt"),
+                                    (F.col("id") * 3).alias("v"))
+    plain = asof_latest(probe, build, "k", "pt", "bt", "bid", ["v"])
+    split = asof_latest(probe, build, "k", "pt", "bt", "bid", ["v"], most_per_bucket=200)
+    got = {r.probe_id: (r.bid, r.v, r.asof_match) for r in split.collect()}
+    assert got == {r.probe_id: (r.bid, r.v, r.asof_match) for r in plain.collect()} and len(got) == 4003
+    rows = sorted((r.bt, r.bid, r.v) for r in build.collect())
+    for r in probe.filter("pt is not null").collect():
+        before = [x for x in rows if x[0] <= r.pt]
+        want = before[-1] if before else rows[0]
+        assert got[r.probe_id] == (want[1], want[2], "LATEST" if before else "EARLIEST")
+    both = probe.select("k", F.col("pt").alias("t")).unionByName(build.select("k", F.col("bt").alias("t")))
+    sizes = [r["count"] for r in adaptive_bucket(both, "k", "t", 86400, 200, "b").filter("b is not null").groupBy("k", "b").count().collect()]
+    assert len(sizes) >= 20 and max(sizes) <= 400
+    assert adaptive_bucket(both, "k", "t", 86400, 10_000, "b").filter("b is not null").select("b").distinct().count() == 1
