@@ -12,11 +12,15 @@ empty, linked with nothing). Two sets link at Jaccard >= ``percent`` / 100.
 3. Lists. Prefix codes are shuffled and sorted; codes with one class go. A list's pivots are its
    first classes (by hash, so that lists of much the same classes have the same pivots) in each of
    two staggered sequences of size bands; within a band the length filter holds. A class is paired
-   with the pivots of its bands. Positional filter, one row per pair, suffix filter (counts of suffix
-   codes in 64 hash cells bound the overlap), then one exact count of common codes per pair.
+   with the pivots of its bands. Positional filter, one row per pair, suffix filter, then one exact
+   count of common codes per pair. The suffix filter works on parity bitmaps: a set's bitmap has two to
+   four bits per code, each code flips one bit, and two sets differ in at least as many codes as their
+   bitmaps differ in bits. The bitmaps hold the whole sets, as a code behind one prefix may lie in
+   the other, and grow with the sets, so that long documents with one passage in common are told apart.
 4. Components of the pivot links. Lists whose members are not all in one component are open. They
    are paired again with more pivots of other components, and at last every pair of members in
-   *different* components that passes the filters is verified. Pairs inside one component cannot
+   *different* components that passes the filters is verified (the join over the lists applies the
+   parity filter with 256 bits itself; long lists are split by salts). Pairs inside one component cannot
    change it; so the components are exact though thousands of near copies of one text are linked
    over their pivots and not pair by pair. ``links`` returns all links instead.
 
@@ -40,7 +44,11 @@ WORDS = 5
 PERCENT = 80
 SKETCH_BITS = 22
 SLICE_BITS = 14
-CELLS = 64
+#: Least bits of a parity bitmap; the join over list members compares this many, as LANES longs.
+PARITY_BITS = 256
+LANES = [f"p{i}" for i in range(PARITY_BITS // 64)]
+#: Rows of a list that one salt of the join over list members holds.
+SALT_ROWS = 2048
 #: Text that a task hashes at a time; what it holds besides is a few dozen bytes per byte of it.
 SLICE_BYTES = 1_000_000
 PIVOTS = 8
@@ -131,13 +139,25 @@ def code_sets(column, classes: np.ndarray, k: int):
     return [np.unique(codes[a:b]) for a, b in zip(first, first[1:])]
 
 
+def parities(codes: np.ndarray) -> np.ndarray:
+    """Parity bitmap of a set (bytes): 2 to 4 bits a code, a power of two, at least PARITY_BITS."""
+    bits = max(PARITY_BITS, 1 << (2 * len(codes) - 1).bit_length() if len(codes) else 0)
+    flips = np.bincount((codes & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((flips & 1).astype(np.uint8), bitorder="little")
+
+
+def folded(bitmaps: np.ndarray, size: int) -> np.ndarray:
+    """Bitmaps (one a row) of ``size`` bytes: those of the same sets with fewer bits."""
+    return np.bitwise_xor.reduce(bitmaps.reshape(len(bitmaps), -1, size), axis=1)
+
+
 def signatures(docs: DataFrame, classes: np.ndarray, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
-    """Stored table: id, n, cls and, for a class's first document in each scan task, its prefix and
-    the counts of its suffix codes per cell."""
+    """Stored table: id, n, cls and, for a class's first document in each scan task, its prefix, its
+    parity bitmap and that bitmap folded to LANES."""
     import pyarrow as pa
     schema = StructType([StructField("id", docs.schema[id_col].dataType), StructField("n", LongType()),
                          StructField("cls", LongType()), StructField("prefix", BinaryType()),
-                         StructField("cells", BinaryType())])
+                         StructField("parity", BinaryType()), *[StructField(x, LongType()) for x in LANES]])
 
     def sign(batches):
         from .tokens import slices
@@ -146,16 +166,19 @@ def signatures(docs: DataFrame, classes: np.ndarray, id_col: str, text_col: str,
             for lo, hi in slices(batch.column(1), SLICE_BYTES):
                 sets = code_sets(batch.column(1).slice(lo, hi - lo), classes, k)
                 cls = [set_hash(s) for s in sets]
-                prefix, cells = [], []
-                for s, c in zip(sets, cls):
-                    new, cut = len(s) > 0 and c not in seen, prefix_size(len(s), percent)
+                prefix, parity, lanes = [], [], np.zeros((len(sets), len(LANES)), np.int64)
+                for i, (s, c) in enumerate(zip(sets, cls)):
+                    new = len(s) > 0 and c not in seen
                     seen.add(c)
-                    prefix.append(s[:cut].tobytes() if new else None)
-                    cells.append(np.bincount((s[cut:] & HASH) % np.uint64(CELLS), minlength=CELLS)
-                                 .astype("<u4").tobytes() if new else None)
+                    marks = parities(s) if new else None
+                    prefix.append(s[:prefix_size(len(s), percent)].tobytes() if new else None)
+                    parity.append(marks.tobytes() if new else None)
+                    if new:
+                        lanes[i] = folded(marks[None, :], PARITY_BITS // 8).view("<i8")[0]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array(cls, pa.int64()), pa.array(prefix, pa.binary()), pa.array(cells, pa.binary())],
+                     pa.array(cls, pa.int64()), pa.array(prefix, pa.binary()), pa.array(parity, pa.binary()),
+                     *[pa.array(x) for x in lanes.T]],
                     names=schema.names)
 
     rows = docs.select(F.col(id_col), F.col(text_col).cast("string"))
@@ -250,16 +273,27 @@ def needed_overlap(a, b, percent: int):
 
 
 def class_table(signed: DataFrame) -> DataFrame:
-    """Stored table, one row per non-empty class: cls, n, cells and the id of one of its documents."""
+    """Stored table, one row per non-empty class: cls, the id of one of its documents and its LANES."""
     return materialize(signed.filter("prefix is not null").groupBy("cls").agg(
-        F.first("n").alias("n"), F.first("cells").alias("cells"), F.min(F.struct("id")).getField("id").alias("id")),
-        "jaccard-classes")
+        F.min("id").alias("id"), *[F.max(x).alias(x) for x in LANES]), "jaccard-classes")
+
+
+def of_members(rows: DataFrame, bits: int, marks: bytes) -> DataFrame:
+    """The rows whose ``cls`` has its bit in the bitmap, found where they lie (few others come along)."""
+    import pyarrow as pa
+
+    def keep(batches):
+        seen = np.unpackbits(np.frombuffer(marks, np.uint8)).view(bool)
+        for batch in batches:
+            yield batch.filter(pa.array(seen[batch.column(0).to_numpy()])).select(list(range(1, batch.num_columns)))
+
+    return rows.select(F.pmod(F.xxhash64("cls"), F.lit(1 << bits)).alias("cell"), "*").mapInArrow(keep, rows.schema)
 
 
 def class_sets(docs: DataFrame, wanted: DataFrame, frequencies: np.ndarray, id_col: str, text_col: str, k: int) -> DataFrame:
     """Stored table (cls, codes) of the classes in ``wanted`` (cls, id). The texts stay where they
-    are: a bitmap of the wanted ids tells the scan which documents to work on, and the join on cls
-    drops those that it let through by chance. Where an id repeats, a class may appear twice."""
+    are: a bitmap of the wanted ids tells the scan which documents to work on. A class may appear twice
+    or unasked, where an id repeats or a bit is shared."""
     import pyarrow as pa
     bits, marks = bitmap(F.xxhash64("id"), wanted)
 
@@ -274,27 +308,37 @@ def class_sets(docs: DataFrame, wanted: DataFrame, frequencies: np.ndarray, id_c
                                                   pa.array([s.tobytes() for s in sets], pa.binary())], names=["cls", "codes"])
 
     rows = docs.select(F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << bits)).alias("cell"), F.col(text_col).cast("string").alias("text"))
-    return materialize(rows.mapInArrow(fill, "cls long, codes binary").join(wanted, "cls", "left_semi"), "jaccard-sets")
+    return materialize(rows.mapInArrow(fill, "cls long, codes binary"), "jaccard-sets")
 
 
-def suffix_filtered(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose overlap the counts of suffix codes do not rule out."""
+def suffix_filtered(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
+    """The stored pairs (a, b) whose overlap the parity bitmaps do not rule out."""
     import pyarrow as pa
+    import pyarrow.compute as pc
 
     def suffix(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
             a, b, na, nb = (batch.column(i).to_numpy() for i in range(4))
-            ca, cb = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u4").reshape(-1, CELLS) for i in (4, 5))
-            most = np.maximum(prefix_size(na, percent), prefix_size(nb, percent)) + np.minimum(ca, cb).sum(axis=1)
-            ok = (100 + percent) * most >= percent * (na + nb)
+            size_a, size_b = (pc.binary_length(batch.column(i)).to_numpy(zero_copy_only=False) for i in (4, 5))
+            ok = np.zeros(len(a), bool)
+            for x, y in set(zip(size_a.tolist(), size_b.tolist())):
+                rows = np.flatnonzero((size_a == x) & (size_b == y))
+                left, right = (np.frombuffer(b"".join(batch.column(i).take(pa.array(rows)).to_pylist()), np.uint8)
+                               .reshape(len(rows), -1) for i in (4, 5))
+                differ = np.bitwise_count(folded(left, min(x, y)) ^ folded(right, min(x, y))).sum(axis=1, dtype=np.int64)
+                both = na[rows] + nb[rows]
+                ok[rows] = (100 + percent) * (both - differ) >= 2 * percent * both
             yield pa.RecordBatch.from_arrays([pa.array(a[ok]), pa.array(b[ok])], names=["a", "b"])
 
+    members = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+    bits, marks = bitmap(F.xxhash64("cls"), members)
+    found = of_members(signed.filter("prefix is not null").select("cls", "n", "parity"), bits, marks)
+    found = materialize(found.dropDuplicates(["cls"]), "jaccard-parity")
+
     def side(x):
-        return classes.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("cells").alias(f"cells_{x}"))
+        return found.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("parity").alias(f"parity_{x}"))
 
-    return (pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "cells_a", "cells_b")
+    return (pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "parity_a", "parity_b")
             .mapInArrow(suffix, "a long, b long"))
 
 
@@ -354,14 +398,19 @@ def open_pairs(open_lists: DataFrame, percent: int, most: int) -> DataFrame:
     return ordered.mapInArrow(pair, "a long, b long").distinct()
 
 
-def member_pairs(lists: DataFrame, percent: int, across: bool) -> DataFrame:
-    """All pairs within the lists that pass length and positional filters, once per pair;
-    ``across``: only between different values of ``comp``."""
-    rows = lists.drop("pivots")
-    x, y = rows.alias("x"), rows.alias("y")
+def member_pairs(lists: DataFrame, classes: DataFrame, percent: int, across: bool) -> DataFrame:
+    """All pairs within the lists that pass length, positional and (256 bits) parity filters, once per
+    pair; ``across``: only between different values of ``comp``. A list of many rows is split: each of its
+    rows is compared, under every salt, with the rows of that salt."""
+    salts = lists.groupBy("code").agg(F.ceil(F.count(F.lit(1)) / SALT_ROWS).alias("salts"))
+    rows = lists.drop("pivots").join(salts, "code").join(classes.drop("id"), "cls")
+    x = rows.withColumn("salt", F.pmod(F.xxhash64("cls"), "salts")).alias("x")
+    y = rows.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))).alias("y")
     most = F.least(F.expr("x.n - x.pos"), F.expr("y.n - y.pos"))
-    on = (F.expr("x.code = y.code") & F.expr("x.n < y.n or (x.n = y.n and x.cls < y.cls)")
-          & F.expr(f"100 * x.n >= {percent} * y.n") & (most >= needed_overlap("x.n", "y.n", percent)))
+    differ = " + ".join(f"bit_count(x.{p} ^ y.{p})" for p in LANES)
+    on = (F.expr("x.code = y.code and x.salt = y.salt") & F.expr("x.n < y.n or (x.n = y.n and x.cls < y.cls)")
+          & F.expr(f"100 * x.n >= {percent} * y.n") & (most >= needed_overlap("x.n", "y.n", percent))
+          & F.expr(f"{100 + percent} * (x.n + y.n - ({differ})) >= {2 * percent} * (x.n + y.n)"))
     if across:
         on = on & F.expr("x.comp <> y.comp")
     return (x.join(y, on).select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b"))
@@ -392,7 +441,10 @@ class JaccardJoin:
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """Stored links among the pairs: suffix filter first, then the sets of what is left."""
-        near = materialize(suffix_filtered(pairs, self.classes, self.percent), "jaccard-near")
+        pairs = materialize(pairs, "jaccard-pairs")
+        if pairs.isEmpty():
+            return pairs
+        near = materialize(suffix_filtered(pairs, self.signed, self.percent), "jaccard-near")
         if near.isEmpty():
             return near
         members = near.select(F.col("a").alias("cls")).union(near.select("b")).distinct()
@@ -402,7 +454,7 @@ class JaccardJoin:
 
     def links(self) -> DataFrame:
         """Every link between different sets, as pairs of classes (see ``signed`` for members)."""
-        return self.verified(member_pairs(self.lists, self.percent, across=False))
+        return self.verified(member_pairs(self.lists, self.classes, self.percent, across=False))
 
     def roots(self) -> DataFrame:
         """(cls, root) of every class that links with another."""
@@ -414,7 +466,7 @@ class JaccardJoin:
             lists = materialize(labelled.join(open_codes.select("code"), "code", "left_semi"), "jaccard-open")
             if lists.isEmpty():
                 break
-            pairs = open_pairs(lists, self.percent, most) if most else member_pairs(lists, self.percent, across=True)
+            pairs = open_pairs(lists, self.percent, most) if most else member_pairs(lists, self.classes, self.percent, across=True)
             links = self.verified(pairs)
             if not links.isEmpty():
                 parts = merged(parts, links)

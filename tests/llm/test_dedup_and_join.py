@@ -91,6 +91,32 @@ def test_jaccard_null_ids_empty_table_and_one_per_component(null_ids, no_docs, d
     assert kept == {c for _, _, c in brute_components(rows)[0]}
 
 
+def test_split_lists_lose_no_link(docs, rows, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "SALT_ROWS", 1)
+    monkeypatch.setattr(jaccard_join, "MORE_PIVOTS", (None,))
+    want, links = brute_components(rows)
+    join = jaccard_join.JaccardJoin(docs)
+    assert join.links().count() == len(links)
+    assert sorted(tuple(r) for r in join.components().collect()) == sorted(want)
+
+
+def test_parity_bitmaps_never_count_more_than_the_difference():
+    import numpy as np
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 100, 128, 129, 700, 20_000):
+        for common in (0, n // 2, n - n // 9, n):
+            codes = np.unique(rng.integers(0, 1 << 58, 3 * n, dtype=np.uint64))[:2 * n - common]
+            rng.shuffle(codes)
+            a, b = codes[:n], codes[len(codes) - n:]
+            marks = [jaccard_join.parities(x)[None, :] for x in (a, b)]
+            real = len(set(a.tolist()) ^ set(b.tolist()))
+            for size in {marks[0].shape[1], 32}:
+                x, y = (jaccard_join.folded(m, size) for m in marks)
+                assert int(np.bitwise_count(x ^ y).sum()) <= real
+            assert marks[0].shape[1] * 8 >= 2 * n
+    assert len(jaccard_join.parities(np.zeros(0, np.uint64))) == 32
+
+
 def test_prefix_size_never_misses():
     for n in range(1, 300):
         for m in range(n, 300):
