@@ -51,9 +51,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: one per distinct text."""
+    def keyed(row_id):          # no NULL among the keys: join and window then share one exchange of the rows
+        return {"at": F.coalesce(row_id.cast("string"), F.lit("")), "known": row_id.isNotNull()}
+
     keep = exact_dedup(docs, id_col, text_col, salts).filter("kept").select(
-        F.col(id_col).alias("keep_id"), F.col("text_sha256").alias("keep_sha"))
-    rows = whole_rows(docs, id=F.col(id_col), sha=F.sha2(normalised(F.col(text_col)), 256))
-    kept = rows.join(keep, (F.col("sha") == F.col("keep_sha")) & F.col("id").eqNullSafe(F.col("keep_id")), "left_semi")
-    nth = F.row_number().over(Window.partitionBy("sha", "id").orderBy("id"))
+        F.unhex("text_sha256").alias("sha"), *[c.alias(k) for k, c in keyed(F.col(id_col)).items()])
+    rows = whole_rows(docs, sha=F.unhex(F.sha2(normalised(F.col(text_col)), 256)), **keyed(F.col(id_col)))
+    kept = rows.join(keep, ["sha", "at", "known"], "left_semi")
+    nth = F.row_number().over(Window.partitionBy("sha", "at", "known").orderBy("known"))
     return kept.withColumn("nth", nth).filter("nth = 1").select("_row.*")
