@@ -287,18 +287,18 @@ def pick_from_groups(requests: DataFrame, request_id: str, request_group: str, i
     return j.drop("_g", "_n", "_neff", "_start", "_idx", "_cg", "_ci")
 
 
-def pick_from_prefix(requests: DataFrame, request_id: str, group_col: str, n_col: str, indexed: DataFrame,
-                     cand_group: str, k: int = 1, seed: int = 17) -> DataFrame:
-    """Pick up to ``k`` distinct candidates among the first ``n`` (per request) of the
-    request's group, without replacement: hashed start, consecutive indices mod n. Used
-    when the eligible candidates are a prefix of the group's order (e.g. "available by
-    time t" over candidates sorted by availability)."""
-    n = F.col(n_col)
-    r = requests.filter(n.isNotNull() & (n > 0)) \
-        .withColumn("_start", F.pmod(pick_hash(id_number(requests, request_id), seed), n)) \
-        .withColumn("pick_no", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(k).cast("long"), n))))
-    r = r.withColumn("_idx", F.pmod(F.col("_start") + F.col("pick_no") - 1, n))
-    c = indexed.select(F.col(cand_group).alias("_cg"), F.col("cand_idx").alias("_ci"),
-                       *[F.col(x) for x in indexed.columns if x not in (cand_group, "cand_idx", "cand_idx_group_size")])
-    j = r.join(c, (F.col(group_col) == F.col("_cg")) & (F.col("_idx") == F.col("_ci")))
-    return j.drop("_start", "_idx", "_cg", "_ci")
+def units_outside_store_candidates(units: DataFrame, orders: DataFrame, stores: DataFrame) -> DataFrame:
+    """JN-5 on the record: units whose store was no candidate of their order, with the reason: not a known
+    store, not active, or of another zone although the order's zone has an active store. Units without
+    a store or without their order are left to the foreign-key rules."""
+    o = last_rows(orders, "order_id", LAST_ORDER["orders"], ["delivery_zone"])
+    s = last_rows(stores, "store_id", LAST_ORDER["stores"], ["zone", "status"])
+    served = s.filter("status = 'ACTIVE' and zone is not null").select(F.col("zone").alias("_served")).distinct()
+    s = s.select("store_id", F.col("zone").alias("store_zone"), F.col("status").alias("_status"), F.lit(True).alias("_known"))
+    j = units.filter(F.col("store_id").isNotNull()).select("fulfilment_unit_id", "order_id", "store_id") \
+        .join(o, "order_id").join(s, "store_id", "left").join(served, F.col("delivery_zone") == F.col("_served"), "left")
+    other = ~F.col("store_zone").eqNullSafe(F.col("delivery_zone")) & F.col("_served").isNotNull()
+    reason = (F.when(F.col("_known").isNull(), "UNKNOWN_STORE").when(~F.col("_status").eqNullSafe(F.lit("ACTIVE")), "INACTIVE_STORE")
+              .when(other, "OTHER_ZONE"))
+    return j.withColumn("reason", reason).filter("reason is not null").select(
+        "fulfilment_unit_id", "order_id", "store_id", "delivery_zone", "store_zone", "reason")

@@ -173,6 +173,27 @@ def asof_latest(probe: DataFrame, build: DataFrame, key: str, probe_time: str, b
                          "asof_match")
 
 
+def running_total(probe: DataFrame, changes: DataFrame, key: str, probe_time: str, change_time: str, value: str,
+                  width_seconds: int = DEFAULT_BUCKET_SECONDS, out: str = "total") -> DataFrame:
+    """For each probe row the sum of ``value`` over the changes of the same key with ``change_time`` up to
+    the probe's time (0 where there is none, or where key or time is NULL). Both sides are shuffled once on
+    (key, time bucket); what earlier buckets add up to comes from one row per (key, bucket). No pairs."""
+    pcols = probe.columns
+    p = probe.select(F.col(key).alias("_k"), F.col(probe_time).alias("_t"), F.lit(1).alias("_side"),
+                     F.lit(None).cast("bigint").alias("_v"), F.struct(*[F.col(c) for c in pcols]).alias("_probe"))
+    c = changes.filter(F.col(key).isNotNull() & F.col(change_time).isNotNull()).select(
+        F.col(key).alias("_k"), F.col(change_time).alias("_t"), F.lit(0).alias("_side"),
+        F.col(value).cast("bigint").alias("_v"), F.lit(None).cast(p.schema["_probe"].dataType).alias("_probe"))
+    d = p.unionByName(c).withColumn("_b", time_bucket("_t", width_seconds))
+    up_to = Window.partitionBy("_k", "_b").orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = d.withColumn("_in", F.sum("_v").over(up_to))
+    earlier = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carried = d.groupBy("_k", "_b").agg(F.sum("_v").alias("_sum")).select("_k", "_b", F.sum("_sum").over(earlier).alias("_carry"))
+    j = d.filter("_side = 1").join(carried, ["_k", "_b"], "left")
+    total = F.coalesce("_in", F.lit(0)) + F.coalesce("_carry", F.lit(0))
+    return j.select(*[F.col("_probe").getField(x).alias(x) for x in pcols], total.alias(out))
+
+
 def dense_rank_index(df: DataFrame, group, order: list[str], bucket: Column, out: str = "idx") -> DataFrame:
     """0-based position of each row inside its group, in (bucket, order) order: a
     per-(group, bucket) row_number plus the row counts of earlier buckets. The bucket

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import joins, windows
-from ..operators.ordered import asof_latest, dense_rank_index, time_bucket
+from ..operators.free_riders import free_riders, offers_outside_zone
 from ..quality.keys import FOREIGN_KEYS
 from ..sources.schemas import key_of
 from .fixtures import qc
@@ -265,78 +265,88 @@ def q_split_store_candidates(spark, sf):
 
 # ---- JN-8: rider candidates -------------------------------------------------------
 
-def _rider_availability(spark, sf):
-    """Active riders with the time they became available (first offer they received)."""
-    first = qc(spark, sf, "rider_assignments").groupBy("rider_id").agg(F.min("offered_at").alias("available_at"))
-    r = qc(spark, sf, "riders").filter(F.col("status") == "ACTIVE").select("rider_id", F.col("home_zone").alias("zone"))
-    return r.join(first, "rider_id").filter(F.col("available_at").isNotNull())
-
-
-def _rider_requests(spark, sf):
-    """One request per delivery: the store's zone and the time of the first offer."""
-    first = qc(spark, sf, "rider_assignments").groupBy("delivery_id").agg(F.min("offered_at").alias("offered_at"))
-    d = qc(spark, sf, "deliveries").select("delivery_id", "fulfilment_unit_id")
-    u = qc(spark, sf, "fulfilment_units").select("fulfilment_unit_id", "store_id")
-    s = qc(spark, sf, "stores").select("store_id", "zone")
-    return d.join(u, "fulfilment_unit_id").join(s, "store_id").join(first, "delivery_id") \
-        .select("delivery_id", "zone", "offered_at")
-
-
-@query("rider_candidates", section="JN-8", oracle="""
-WITH av AS (
-  SELECT r.rider_id, r.home_zone AS zone, f.available_at
-  FROM qc_riders r JOIN (SELECT rider_id, min(offered_at) AS available_at FROM qc_rider_assignments GROUP BY rider_id) f
-    ON f.rider_id = r.rider_id
-  WHERE r.status = 'ACTIVE' AND f.available_at IS NOT NULL),
-idx AS (
-  SELECT zone, rider_id, row_number() OVER (PARTITION BY zone ORDER BY available_at, rider_id) - 1 AS ci FROM av
-  UNION ALL
-  SELECT '*', rider_id, row_number() OVER (ORDER BY available_at, rider_id) - 1 FROM av),
+def _delivery_zones(spark, sf):
+    """Zone of the store that serves each delivery (NULL where the unit or the store is unknown)."""
+    d = joins.last_rows(qc(spark, sf, "deliveries"), "delivery_id", joins.LAST_ORDER["deliveries"], ["fulfilment_unit_id"])
+    u = joins.last_rows(qc(spark, sf, "fulfilment_units"), "fulfilment_unit_id", joins.LAST_ORDER["fulfilment_units"], ["store_id"])
+    s = joins.last_rows(qc(spark, sf, "stores"), "store_id", joins.LAST_ORDER["stores"], ["zone"])
+    return d.join(u, "fulfilment_unit_id", "left").join(s, "store_id", "left").select("delivery_id", "zone")
+
+
+_DELIVERY_ZONE_SQL = """
+dz AS (
+  SELECT d.delivery_id, any_value(s.zone) AS zone
+  FROM qc_deliveries d LEFT JOIN qc_fulfilment_units u ON u.fulfilment_unit_id = d.fulfilment_unit_id
+  LEFT JOIN qc_stores s ON s.store_id = u.store_id
+  GROUP BY d.delivery_id),
+act AS (SELECT rider_id, home_zone FROM qc_riders WHERE status = 'ACTIVE'),
+busy AS (
+  SELECT a.rider_id, a.home_zone, d.delivery_started_at AS s, d.delivered_at AS e,
+         unnest(generate_series(date_trunc('hour', d.delivery_started_at), d.delivered_at, INTERVAL 1 HOUR)) AS h
+  FROM qc_deliveries d JOIN act a ON a.rider_id = d.rider_id WHERE d.delivered_at > d.delivery_started_at)"""
+
+
+@query("rider_candidates", section="JN-8", oracle=f"""
+WITH {_DELIVERY_ZONE_SQL},
 req AS (
-  SELECT d.delivery_id, s.zone, fo.offered_at
-  FROM qc_deliveries d JOIN qc_fulfilment_units u ON u.fulfilment_unit_id = d.fulfilment_unit_id
-  JOIN qc_stores s ON s.store_id = u.store_id
-  JOIN (SELECT delivery_id, min(offered_at) AS offered_at FROM qc_rider_assignments GROUP BY delivery_id) fo
-    ON fo.delivery_id = d.delivery_id),
+  SELECT dz.delivery_id, dz.zone, (SELECT min(a.offered_at) FROM qc_rider_assignments a WHERE a.delivery_id = dz.delivery_id) AS offered_at
+  FROM dz),
+taken AS (
+  SELECT q.delivery_id, count(DISTINCT b.rider_id) FILTER (WHERE b.home_zone = q.zone) AS bz, count(DISTINCT b.rider_id) AS ba
+  FROM req q LEFT JOIN busy b ON b.h = date_trunc('hour', q.offered_at) AND b.s <= q.offered_at AND b.e > q.offered_at
+  GROUP BY q.delivery_id),
 cnt AS (
-  SELECT q.delivery_id, q.zone,
-         (SELECT count(*) FROM av a WHERE a.zone = q.zone AND a.available_at <= q.offered_at) AS nz,
-         (SELECT count(*) FROM av a WHERE a.available_at <= q.offered_at) AS na
-  FROM req q),
-ch AS (
-  SELECT delivery_id, CASE WHEN nz > 0 THEN zone ELSE '*' END AS cand_zone, CASE WHEN nz > 0 THEN nz ELSE na END AS n
-  FROM cnt WHERE nz > 0 OR na > 0)
-SELECT ch.delivery_id, ch.cand_zone, ch.n AS n_available, p.j AS pick_no, i.rider_id
-FROM ch JOIN range(1, 4) AS p(j) ON p.j <= least(3, ch.n)
-JOIN idx i ON i.zone = ch.cand_zone
- AND i.ci = ((((ch.delivery_id % 2147483647) * 48271 + 23) % 2147483647) % ch.n + p.j - 1) % ch.n
+  SELECT q.*, (SELECT count(*) FROM act WHERE act.home_zone = q.zone) - t.bz AS nz, (SELECT count(*) FROM act) - t.ba AS na
+  FROM req q JOIN taken t ON t.delivery_id = q.delivery_id)
+SELECT delivery_id, zone, offered_at, CASE WHEN offered_at IS NOT NULL THEN nz END AS n_zone,
+       CASE WHEN offered_at IS NULL THEN NULL WHEN nz > 0 THEN zone WHEN na > 0 THEN '*' END AS cand_zone,
+       CASE WHEN offered_at IS NULL THEN NULL WHEN nz > 0 THEN nz ELSE na END AS n_candidates
+FROM cnt
 """)
 def q_rider_candidates(spark, sf):
-    """JN-8: up to three offer candidates per delivery: active riders of the store's zone
-    available by the first offer (if none, any available rider). Availability by time is a
-    prefix of each zone's riders sorted by ``available_at``, so its size is an as-of
-    lookup, and the picks are indices into it: no rider x delivery pairs are formed."""
-    av = _rider_availability(spark, sf)
-    # one dense index over both groupings: per home zone, and '*' = every zone
-    both = av.unionByName(av.withColumn("zone", F.lit("*")))
-    indexed = dense_rank_index(both, "zone", ["available_at", "rider_id"], time_bucket("available_at"),
-                               out="cand_idx")
-    req = _rider_requests(spark, sf)
-    # each request probes its own zone and '*' in ONE as-of pass; the latest available
-    # rider's index + 1 is the number of riders available by the first offer
-    probes = req.select("delivery_id", "zone", "offered_at", F.lit(False).alias("any_zone")) \
-        .unionByName(req.select("delivery_id", F.lit("*").alias("zone"), "offered_at", F.lit(True).alias("any_zone")))
-    hit = asof_latest(probes, indexed, "zone", "offered_at", "available_at", "rider_id", ["cand_idx"],
-                      fallback_earliest=False, prefix="c_")
-    counts = hit.groupBy("delivery_id").agg(
-        F.max(F.when(~F.col("any_zone"), F.col("zone"))).alias("zone"),
-        F.max(F.when(~F.col("any_zone"), F.col("c_cand_idx") + 1)).alias("nz"),
-        F.max(F.when(F.col("any_zone"), F.col("c_cand_idx") + 1)).alias("na"))
-    ch = counts.select("delivery_id",
-                       F.when(F.col("nz") > 0, F.col("zone")).otherwise(F.lit("*")).alias("cand_zone"),
-                       F.when(F.col("nz") > 0, F.col("nz")).otherwise(F.col("na")).alias("n_available"))
-    picks = joins.pick_from_prefix(ch, "delivery_id", "cand_zone", "n_available", indexed, "zone", k=3, seed=23)
-    return picks.select("delivery_id", "cand_zone", "n_available", "pick_no", "rider_id")
+    """JN-8: the candidate pool of every delivery at its first offer: free active riders of the store's
+    zone, if there are none, free riders of any zone. Every delivery has a row, also one without an offer
+    (NULL) or without a free rider (0)."""
+    first = qc(spark, sf, "rider_assignments").groupBy("delivery_id").agg(F.min("offered_at").alias("offered_at"))
+    requests = _delivery_zones(spark, sf).join(first, "delivery_id", "left")
+    return free_riders(requests, qc(spark, sf, "riders"), qc(spark, sf, "deliveries"))
+
+
+@query("offers_outside_zone", section="JN-8", oracle=f"""
+WITH {_DELIVERY_ZONE_SQL},
+asked AS (
+  SELECT a.assignment_id, a.delivery_id, a.rider_id, r.home_zone, dz.zone, a.offered_at
+  FROM qc_rider_assignments a JOIN act r ON r.rider_id = a.rider_id JOIN dz ON dz.delivery_id = a.delivery_id
+  WHERE r.home_zone IS DISTINCT FROM dz.zone),
+cnt AS (
+  SELECT q.*, (SELECT count(*) FROM act WHERE act.home_zone = q.zone) - t.bz AS n_zone
+  FROM asked q JOIN (
+    SELECT q.assignment_id, count(DISTINCT b.rider_id) AS bz
+    FROM asked q LEFT JOIN busy b ON b.home_zone = q.zone AND b.h = date_trunc('hour', q.offered_at)
+      AND b.s <= q.offered_at AND b.e > q.offered_at
+    GROUP BY q.assignment_id) t ON t.assignment_id = q.assignment_id)
+SELECT assignment_id, delivery_id, rider_id, home_zone, zone, offered_at, n_zone FROM cnt WHERE n_zone > 0
+""")
+def q_offers_outside_zone(spark, sf):
+    """Recorded offers to riders of another zone although a rider of the store's zone was free."""
+    return offers_outside_zone(qc(spark, sf, "rider_assignments"), qc(spark, sf, "riders"), qc(spark, sf, "deliveries"),
+                               _delivery_zones(spark, sf))
+
+
+@query("units_outside_store_candidates", section="JN-5", oracle="""
+WITH act AS (SELECT DISTINCT zone FROM qc_stores WHERE status = 'ACTIVE' AND zone IS NOT NULL)
+SELECT u.fulfilment_unit_id, u.order_id, u.store_id, o.delivery_zone, s.zone AS store_zone,
+       CASE WHEN s.store_id IS NULL THEN 'UNKNOWN_STORE' WHEN s.status IS DISTINCT FROM 'ACTIVE' THEN 'INACTIVE_STORE'
+            ELSE 'OTHER_ZONE' END AS reason
+FROM qc_fulfilment_units u JOIN qc_orders o ON o.order_id = u.order_id
+LEFT JOIN qc_stores s ON s.store_id = u.store_id
+WHERE u.store_id IS NOT NULL AND (s.store_id IS NULL OR s.status IS DISTINCT FROM 'ACTIVE'
+   OR (s.zone IS DISTINCT FROM o.delivery_zone AND EXISTS (SELECT 1 FROM act WHERE act.zone = o.delivery_zone)))
+""")
+def q_units_outside_store_candidates(spark, sf):
+    """Units whose recorded store was no candidate of their order (unknown, inactive, or of another zone
+    although the order's zone has an active store)."""
+    return joins.units_outside_store_candidates(qc(spark, sf, "fulfilment_units"), qc(spark, sf, "orders"), qc(spark, sf, "stores"))
 
 
 @query("offers_outside_candidates", section="JN-8", oracle="""
