@@ -131,6 +131,14 @@ def _map(col: Column, mapping: dict[str, str], default: str | None) -> Column:
     return out.otherwise(F.lit(default)) if default is not None else out
 
 
+def _level(level: str):
+    if level == "unit":
+        return "fulfilment_unit_id", UNIT_STAGES, UNIT_STATUS_AFTER, "PENDING"
+    if level == "delivery":
+        return "delivery_id", DELIVERY_STAGES, DELIVERY_STATUS_AFTER, "REQUESTED"
+    raise ValueError(level)
+
+
 def state_from_events(events: DataFrame, level: str = "unit") -> DataFrame:
     """LC-2: latest state per unit (or delivery) from its events, in one aggregate: each
     stage timestamp is the latest event of its type, the status follows the latest event
@@ -138,12 +146,7 @@ def state_from_events(events: DataFrame, level: str = "unit") -> DataFrame:
 
     The aggregate is commutative (max / max_by), so late or reordered events give the
     same state - the property the streaming version relies on."""
-    if level == "unit":
-        key, stages, status_map, default = "fulfilment_unit_id", UNIT_STAGES, UNIT_STATUS_AFTER, "PENDING"
-    elif level == "delivery":
-        key, stages, status_map, default = "delivery_id", DELIVERY_STAGES, DELIVERY_STATUS_AFTER, "REQUESTED"
-    else:
-        raise ValueError(level)
+    key, stages, status_map, default = _level(level)
     relevant = list(status_map)
     e = events.filter(F.col(key).isNotNull())
     aggs = [F.max(F.when(F.col("event_type") == et, F.col("occurred_at"))).alias(tc) for tc, et in stages]
@@ -155,6 +158,40 @@ def state_from_events(events: DataFrame, level: str = "unit") -> DataFrame:
     return s.withColumn("status", _map(F.col("last_event_type"), status_map, default))
 
 
+def partial_state(events: DataFrame, level: str = "unit") -> DataFrame:
+    """What some events of a key say about its state, kept so that ``merged_states`` can combine it with
+    what other events say: stage maxima, the latest status and reason with their place in the event
+    order, the number of events and the latest time of any event."""
+    key, stages, status_map, _ = _level(level)
+    e = events.filter(F.col(key).isNotNull())
+    status = F.struct(event_order().alias("at"), F.col("event_type").alias("value"))
+    reason = F.struct(event_order().alias("at"), F.col("reason").alias("value"))
+    return e.groupBy(key).agg(
+        *[F.max(F.when(F.col("event_type") == et, F.col("occurred_at"))).alias(tc) for tc, et in stages],
+        F.max(F.when(F.col("event_type").isin(list(status_map)), status)).alias("last_status"),
+        F.max(F.when(F.col("reason").isNotNull(), reason)).alias("last_reason"),
+        F.count(F.lit(1)).alias("n_events"), F.max("occurred_at").alias("last_at"))
+
+
+def merged_states(partials: DataFrame, level: str = "unit") -> DataFrame:
+    """Partial states of any number of event sets as one per key."""
+    key = _level(level)[0]
+    return partials.groupBy(key).agg(*[(F.sum(c) if c == "n_events" else F.max(c)).alias(c) for c in partials.columns if c != key])
+
+
+def status_of(level: str = "unit") -> Column:
+    """Status of a partial state."""
+    _, _, status_map, default = _level(level)
+    return _map(F.col("last_status.value"), status_map, default)
+
+
+def state_of(partials: DataFrame, level: str = "unit") -> DataFrame:
+    """The rows of ``state_from_events`` from one partial state per key."""
+    key, stages, _, _ = _level(level)
+    return partials.select(key, *[tc for tc, _ in stages], F.col("last_status.value").alias("last_event_type"),
+                           F.col("last_reason.value").alias("reason"), "n_events", status_of(level).alias("status"))
+
+
 def stage_durations(orders: DataFrame, units: DataFrame, deliveries: DataFrame, assignments: DataFrame) -> DataFrame:
     """LC-3: seconds spent in each lifecycle stage, per unit (NULL where a bound is
     missing). First offer per delivery is an aggregate, joined once."""
