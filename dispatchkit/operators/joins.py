@@ -67,12 +67,13 @@ def _common_key_type(dfs_cols: list[tuple[DataFrame, str]]) -> str:
 
 
 def fk_orphans_all(tables: dict[str, DataFrame], specs: list[tuple], key_of) -> DataFrame:
-    """All foreign-key checks of a set of tables: one anti join per parent table.
+    """All foreign-key checks of a set of tables: one join per parent table (a left join, since
+    the optimizer would split an anti join into one per member of the union).
 
     ``specs`` = [(rule_id, child, column, parent, parent_key, optional)]. For each parent,
     the child key columns that reference it are projected narrow (spec tag, child id, id;
-    Parquet reads only those columns) and unioned, then anti-joined once against the
-    parent's distinct keys. A small parent key set is broadcast by AQE (runtime size
+    Parquet reads only those columns) and unioned, then joined once with the parent's
+    distinct keys; what finds none is an orphan. A small parent key set is broadcast by AQE (runtime size
     check); a large one is shuffled. A NULL mandatory key matches nothing and is
     reported; NULL optional keys are dropped first. Output: rule_id, child, column,
     child_id, id."""
@@ -89,8 +90,9 @@ def fk_orphans_all(tables: dict[str, DataFrame], specs: list[tuple], key_of) ->
             k = tables[sp[1]].select(F.lit(i).alias("spec"), F.col(key_of(sp[1])).cast(cid_t).alias("child_id"),
                                      F.col(sp[2]).cast(id_t).alias("id"))
             kids.append(k.filter(F.col("id").isNotNull()) if sp[5] else k)
-        ids = tables[p].select(F.col(pk).cast(id_t).alias("id")).filter(F.col("id").isNotNull())
-        per_parent.append(reduce(DataFrame.unionByName, kids).join(ids, "id", "left_anti"))
+        ids = tables[p].select(F.col(pk).cast(id_t).alias("id")).filter(F.col("id").isNotNull()).distinct() \
+            .withColumn("_there", F.lit(True))
+        per_parent.append(reduce(DataFrame.unionByName, kids).join(ids, "id", "left").filter("_there is null").drop("_there"))
     orphans = reduce(DataFrame.unionByName, per_parent)
 
     def name(idx: int) -> Column:

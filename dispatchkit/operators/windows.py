@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .joins import last_rows
+from .joins import is_number, last_rows
 from .ordered import (DEFAULT_BUCKET_SECONDS, asof_latest, dense_rank_index, previous_row, quantile_bucket,
                       running_max_before, sequential_number, time_bucket)
 
@@ -94,24 +94,33 @@ def available_at(df: DataFrame, key: str, order: list[str], value: str,
     return running_max_before(d, key, order, value, b, out=out).select(*df.columns, out)
 
 
-def accepted_attempt(offers: DataFrame, key: str = "delivery_id", seq: str = "assignment_id") -> DataFrame:
+#: Sequence ids of one bucket: numbers are divided by the width, of text ids the prefix counts.
+SEQUENCE_WIDTH = 4096
+SEQUENCE_PREFIX = 8
+
+
+def accepted_attempt(offers: DataFrame, key: str = "delivery_id", seq: str = "assignment_id",
+                     width: int = SEQUENCE_WIDTH, prefix: int = SEQUENCE_PREFIX) -> DataFrame:
     """WN-5: offers are made in sequence until the first ACCEPTED one. Per key: the first
     accepted offer (seq, rider, responded_at), the number of offers, and how many offers
     came after the accepted one (which a sequential offer loop never makes).
 
-    Offers per delivery are few, but the plan is an aggregate (partial + final), so it
-    does not depend on that."""
-    acc = F.col("response") == "ACCEPTED"
-    first = offers.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n_offers"),
-        F.min(F.when(acc, F.struct(F.col(seq).alias("s"), F.col("rider_id").alias("r"),
-                                    F.col("responded_at").alias("t")))).alias("_a"))
-    right = first.withColumnRenamed(key, "_key")                # offers of no delivery are a group too
-    j = offers.select(key, seq).join(right, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
-    after = F.sum(F.when(F.col("_a").isNotNull() & (F.col(seq) > F.col("_a.s")), 1).otherwise(0))
-    agg = j.groupBy(key).agg(F.first("n_offers").alias("n_offers"), F.first("_a").alias("_a"),
-                             after.alias("offers_after_accept"))
-    return agg.select(key, "n_offers", F.col("_a.s").alias("accepted_" + seq),
+    The offers are shuffled once, on (key, range of sequence ids), so a key with any share of the rows
+    (NULL is a key too) is spread over tasks. A range gives one partial row: its offers, its first
+    accepted one and the offers after that. In a key's first range with an accepted offer that count
+    holds, later ranges come after it as a whole. Only partial rows are shuffled by key. An accepted
+    offer without a sequence id is no first one."""
+    taken = F.struct(F.col(seq).alias("s"), F.col("rider_id").alias("r"), F.col("responded_at").alias("t"))
+    span = F.floor(F.col(seq) / F.lit(width)) if is_number(offers, seq) else F.substring(F.col(seq), 1, prefix)
+    d = offers.select(F.col(key).alias("_key"), F.col(seq).alias("_seq"), span.alias("_span"),
+                      F.when((F.col("response") == "ACCEPTED") & F.col(seq).isNotNull(), taken).alias("_taken"))
+    d = d.withColumn("_a", F.min("_taken").over(Window.partitionBy("_key", "_span")))
+    parts = d.groupBy("_key", "_span").agg(F.count(F.lit(1)).alias("_n"), F.min("_taken").alias("_a"),
+                                           F.count(F.when(F.col("_seq") > F.col("_a.s"), 1)).alias("_after"))
+    parts = parts.withColumn("_first", F.min(F.when(F.col("_a").isNotNull(), F.col("_span"))).over(Window.partitionBy("_key")))
+    after = F.when(F.col("_span") == F.col("_first"), F.col("_after")).when(F.col("_span") > F.col("_first"), F.col("_n")).otherwise(0)
+    agg = parts.groupBy("_key").agg(F.sum("_n").alias("n_offers"), F.min("_a").alias("_a"), F.sum(after).alias("offers_after_accept"))
+    return agg.select(F.col("_key").alias(key), "n_offers", F.col("_a.s").alias("accepted_" + seq),
                       F.col("_a.r").alias("accepted_rider_id"), F.col("_a.t").alias("accepted_at"),
                       "offers_after_accept")
 

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import functions as F
 
 from ..operators import joins, windows
 from ..operators.free_riders import free_riders, offers_outside_zone
@@ -14,18 +12,6 @@ from .fixtures import qc
 from .registry import query
 
 
-def _fk_query(spark, sf, optional: bool) -> DataFrame:
-    parts = []
-    for rule, child, col, parent, pk, opt in FOREIGN_KEYS:
-        if opt != optional:
-            continue
-        c = qc(spark, sf, child)
-        cid = key_of(child)
-        o = joins.fk_orphans(c.select(cid, col), qc(spark, sf, parent), col, pk, optional=opt)
-        parts.append(o.select(F.lit(rule).alias("fk"), F.col(cid).alias("child_id"), F.col(col).alias("key_value")))
-    return reduce(DataFrame.unionByName, parts)
-
-
 def _fk_sql(optional: bool) -> str:
     parts = []
     for rule, child, col, parent, pk, opt in FOREIGN_KEYS:
@@ -40,7 +26,11 @@ def _fk_sql(optional: bool) -> str:
 
 @query("fk_orphans", section="JN-1", oracle=_fk_sql(False))
 def q_fk_orphans(spark, sf):
-    return _fk_query(spark, sf, False)
+    """One anti join per parent table, however many keys refer to it."""
+    specs = [sp for sp in FOREIGN_KEYS if not sp[5]]
+    tables = {t: qc(spark, sf, t) for sp in specs for t in (sp[1], sp[3])}
+    return joins.fk_orphans_all(tables, specs, key_of).select(
+        F.col("rule_id").alias("fk"), F.col("child_id").cast("long").alias("child_id"), F.col("id").alias("key_value"))
 
 
 @query("fk_orphans_optional", section="JN-2", oracle=_fk_sql(True))

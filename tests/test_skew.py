@@ -1,6 +1,7 @@
 """A hot key (every row on one rider): the bucketed operators must equal a plain
 single-partition window, with time buckets and with per-key quantile buckets."""
 
+import pytest
 from pyspark.sql import Window, functions as F
 
 from dispatchkit.operators import windows
@@ -76,3 +77,40 @@ def test_asof_splits_one_dense_day_of_one_key(spark):
     sizes = [r["count"] for r in adaptive_bucket(both, "k", "t", 86400, 200, "b").filter("b is not null").groupBy("k", "b").count().collect()]
     assert len(sizes) >= 20 and max(sizes) <= 400
     assert adaptive_bucket(both, "k", "t", 86400, 10_000, "b").filter("b is not null").select("b").distinct().count() == 1
+
+
+@pytest.mark.parametrize("text", [False, True])
+def test_first_accepted_offer_of_hot_keys(spark, text):
+    """A third of the offers on NULL, a third on -1; repeated and missing sequence ids."""
+    import random
+    from dispatchkit.operators.windows import accepted_attempt
+    rng = random.Random(4)
+    seqs = [(f"AS-{i:07d}" if text else i) for i in range(900)]
+    rows = [(rng.choice([None, None, -1, -1, *range(8)]), rng.choice([s, s, s, seqs[max(0, i - 1)]]), i % 7,
+             rng.choice(["ACCEPTED"] + ["REJECTED"] * 30), None) for i, s in enumerate(seqs)]
+    rows += [(-1, None, 3, "ACCEPTED", None), (77, None, 3, "ACCEPTED", None), (78, seqs[5], 3, None, None)]
+    df = spark.createDataFrame(rows, f"delivery_id long, assignment_id {'string' if text else 'long'}, rider_id long, response string, responded_at timestamp_ntz")
+    got = {r.delivery_id: (r.n_offers, r.accepted_assignment_id, r.accepted_rider_id, r.offers_after_accept)
+           for r in accepted_attempt(df.repartition(5), width=16, prefix=9).collect()}
+    want = {}
+    for key in {r[0] for r in rows}:
+        mine = [r for r in rows if r[0] == key]
+        first = min(((s, rider) for _, s, rider, how, _ in mine if how == "ACCEPTED" and s is not None), default=(None, None))
+        after = 0 if first[0] is None else sum(s is not None and s > first[0] for _, s, *_ in mine)
+        want[key] = (len(mine), *first, after)
+    assert got == want
+
+
+def test_offers_and_keys_are_shuffled_once(spark):
+    import __spark_entry__ as E
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        # accepted_attempt: offers on (key, range), partial rows on key; fk_orphans: two per parent table
+        for key, most in (("accepted_attempt", 2), ("fk_orphans", 12)):
+            plan = E.queries()[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning") <= most, key
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
