@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import joins, windows
 from ..operators.free_riders import free_riders, offers_outside_zone
+from ..operators.store_pools import second_store_pools, store_pools
 from ..quality.keys import FOREIGN_KEYS
 from ..sources.schemas import key_of
 from .fixtures import qc
@@ -179,78 +180,33 @@ def q_store_hour_grid(spark, sf):
     return joins.store_hour_grid(qc(spark, sf, "stores").select("store_id"), GRID_START, 24)
 
 
-# ---- candidate picks -------------------------------------------------------------
+# ---- store pools ------------------------------------------------------------------
 
-def _active_store_index(spark, sf):
-    st = qc(spark, sf, "stores").filter(F.col("status") == "ACTIVE").select("store_id", "zone")
-    zoned = joins.indexed_candidates(st, "zone", "store_id")
-    everywhere = joins.indexed_candidates(st.withColumn("zone", F.lit("*")), "zone", "store_id")
-    return zoned, everywhere
-
-
-def store_choice(spark, sf):
-    """JN-5: one store per order among the active stores of its zone, or among all
-    active stores when its zone has none. Returns order_id, store_id, cand_zone."""
-    zoned, everywhere = _active_store_index(spark, sf)
-    o = qc(spark, sf, "orders").select("order_id", "delivery_zone")
-    zones_with = zoned.select(F.col("zone").alias("_z")).distinct()
-    o = o.join(zones_with, o.delivery_zone == zones_with._z, "left") \
-        .withColumn("cand_zone", F.when(F.col("_z").isNotNull(), F.col("delivery_zone")).otherwise(F.lit("*"))) \
-        .drop("_z")
-    allc = zoned.unionByName(everywhere)
-    return joins.pick_from_groups(o, "order_id", "cand_zone", allc, "zone", k=1, seed=17)
-
-
-_STORE_IDX_SQL = """
-act AS (SELECT store_id, zone FROM qc_stores WHERE status = 'ACTIVE'),
-idx AS (
-  SELECT zone, store_id, row_number() OVER (PARTITION BY zone ORDER BY store_id % 64, store_id) - 1 AS ci,
-         count(*) OVER (PARTITION BY zone) AS n FROM act
-  UNION ALL
-  SELECT '*', store_id, row_number() OVER (ORDER BY store_id % 64, store_id) - 1, count(*) OVER () FROM act),
-req AS (
-  SELECT o.order_id, o.delivery_zone,
-         CASE WHEN EXISTS (SELECT 1 FROM act WHERE act.zone = o.delivery_zone) THEN o.delivery_zone ELSE '*' END
-           AS cand_zone
-  FROM qc_orders o),
-sz AS (SELECT zone, max(n) AS n FROM idx GROUP BY zone)"""
-
-
-@query("store_candidates", section="JN-5", oracle=f"""
-WITH {_STORE_IDX_SQL}
-SELECT r.order_id, r.delivery_zone, r.cand_zone, 1 AS pick_no, i.store_id
-FROM req r JOIN sz ON sz.zone = r.cand_zone
-JOIN idx i ON i.zone = r.cand_zone AND i.ci = (((r.order_id % 2147483647) * 48271 + 17) % 2147483647) % sz.n
+@query("store_candidates", section="JN-5", oracle="""
+WITH act AS (SELECT store_id, zone FROM qc_stores WHERE status = 'ACTIVE'),
+cnt AS (
+  SELECT o.order_id, o.delivery_zone, (SELECT count(*) FROM act WHERE act.zone = o.delivery_zone) AS nz,
+         (SELECT count(*) FROM act) AS na
+  FROM qc_orders o)
+SELECT order_id, delivery_zone, CASE WHEN nz > 0 THEN delivery_zone WHEN na > 0 THEN '*' END AS cand_zone,
+       CASE WHEN nz > 0 THEN nz ELSE na END AS n_candidates
+FROM cnt
 """)
 def q_store_candidates(spark, sf):
-    return store_choice(spark, sf).select("order_id", "delivery_zone", "cand_zone", "pick_no", "store_id")
-
-
-@query("split_store_candidates", section="JN-6", oracle=f"""
-WITH {_STORE_IDX_SQL},
-first AS (
-  SELECT r.order_id, r.delivery_zone, r.cand_zone, i.ci AS first_idx, i.store_id AS first_store
-  FROM req r JOIN sz ON sz.zone = r.cand_zone
-  JOIN idx i ON i.zone = r.cand_zone AND i.ci = (((r.order_id % 2147483647) * 48271 + 17) % 2147483647) % sz.n
-  WHERE r.cand_zone <> '*'),
-second AS (
-  SELECT f.*, sz.n - 1 AS n2, (((f.order_id % 2147483647) * 48271 + 29) % 2147483647) % (sz.n - 1) AS raw_idx
-  FROM first f JOIN sz ON sz.zone = f.cand_zone WHERE sz.n > 1)
-SELECT s.order_id, s.first_store, i.store_id AS second_store
-FROM second s JOIN idx i ON i.zone = s.cand_zone
- AND i.ci = CASE WHEN s.raw_idx >= s.first_idx THEN s.raw_idx + 1 ELSE s.raw_idx END
+    """JN-5: the pool of stores of every order."""
+    return store_pools(qc(spark, sf, "orders"), qc(spark, sf, "stores"))
+
+
+@query("split_store_candidates", section="JN-6", oracle="""
+SELECT u.fulfilment_unit_id, u.order_id, u.store_id, o.delivery_zone,
+       (SELECT count(*) FROM qc_stores s WHERE s.status = 'ACTIVE' AND s.zone = o.delivery_zone AND s.store_id <> u.store_id)
+         AS n_alternatives
+FROM qc_fulfilment_units u JOIN qc_orders o ON o.order_id = u.order_id
+WHERE u.store_id IS NOT NULL
 """)
 def q_split_store_candidates(spark, sf):
-    """JN-6: a second, different active store in the same zone (theta residual
-    store_id <> first), for orders whose first store came from their own zone."""
-    zoned, _ = _active_store_index(spark, sf)
-    first = store_choice(spark, sf).filter(F.col("cand_zone") != "*")
-    fi = zoned.select(F.col("zone").alias("_fz"), F.col("store_id").alias("_fs"), F.col("cand_idx").alias("first_idx"))
-    first = first.join(fi, (first.cand_zone == fi._fz) & (first.store_id == fi._fs)).drop("_fz", "_fs")
-    first = first.select("order_id", "cand_zone", "first_idx", F.col("store_id").alias("first_store"))
-    second = joins.pick_from_groups(first, "order_id", "cand_zone", zoned, "zone", k=1, seed=29,
-                                    exclude_idx="first_idx")
-    return second.select("order_id", "first_store", F.col("store_id").alias("second_store"))
+    """JN-6: how many other active stores of the order's zone each unit's store has."""
+    return second_store_pools(qc(spark, sf, "fulfilment_units"), qc(spark, sf, "orders"), qc(spark, sf, "stores"))
 
 
 # ---- JN-8: rider candidates -------------------------------------------------------
