@@ -77,6 +77,59 @@ def test_written_out_grams_keep_every_weighted_one(spark, model):
     assert kept == every and len(model.vectors.vocabulary) < licenses.VOCABULARY
 
 
+#: Written apart from the notices; the first ones were found missing by a review.
+LINES = {
+    "SPDX-License-Identifier: ISC": "unknown", "Licensed under GPL-2.0.": "unknown", "Licensed under CC BY-ND 4.0.": "unknown",
+    "Released under the WTFPL.": "unknown", "Distributed under the Frobnicate License.": "unknown",
+    "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted": "unknown",
+    "Neither the name of the author nor the names of its contributors may be used to endorse or promote products": "bsd",
+    "This repository is licensed under the terms of the MIT license.": "mit", "The source is GPLv3.": "gpl-3.0",
+    "Content is available under CC BY-SA 4.0 unless otherwise noted.": "cc-by-sa",
+    "Copyright (c) 2020 Jane Doe. Licensed under the BSD 2-Clause License.": "bsd",
+    "You may use it under the terms of the Apache License, Version 2.0.": "apache-2.0",
+    "He is available on Monday.": "none", "All children have the right to play.": "none", "The children walked home under the trees.": "none",
+    "The software was released in 1999.": "none", "Mit freundlichen Grüßen": "none", "Use this door.": "none",
+    "The company distributed food under the bridge.": "none", "She covered the files with a cloth.": "none"}
+
+
+def test_lines_written_apart_from_the_notices(spark, model):
+    got = {r.paragraph: r.family for r in model.classify(spark.createDataFrame([(p,) for p in LINES], "paragraph string")).collect()}
+    assert {p: got[p] for p in LINES if got[p] != LINES[p]} == {}
+    warranty = 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED'
+    assert model.classify(spark.createDataFrame([(warranty,)], "paragraph string")).collect()[0].family in ("mit", "unknown")
+
+
+def test_temperature_lies_inside_its_grid_and_probabilities_are_calibrated(model):
+    assert 0.2 < model.temperature < 10 and model.calibration_error < 0.15
+
+
+def test_wrapped_lines_are_one_paragraph(spark):
+    text = ("Some text.\n# Permission is hereby granted, free of charge, to any\r\n#  person obtaining a copy of this software and associated\n"
+            "# documentation files\nNext line.\n\nlower case after a blank line,\nGoes on in upper case")
+    parts = spark.createDataFrame([(text,)], "text string").select(licenses.paragraphs_of(F.col("text")).alias("p")).collect()[0].p
+    assert parts == ["Some text.", "# Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+                     "documentation files", "Next line.", "", "lower case after a blank line,", "Goes on in upper case"]
+    found = licenses.license_paragraphs(spark.createDataFrame([(1, text), (2, None), (3, "")], "doc_id long, text string")).collect()
+    assert [(r.id, r.line, r.family) for r in found] == [(1, 1, "mit")]
+
+
+def test_scores_equal_the_formula(spark, model):
+    """Softmax of the summed weights of a line's distinct grams, over the temperature."""
+    lines = [*LINES, "mit", "Released under the MIT License. " * 40]
+    place = {g: i for i, g in enumerate(model.vectors.vocabulary)}
+    weights, start = model.regression.coefficientMatrix.toArray(), model.regression.interceptVector.toArray()
+    got = {r.paragraph: r for r in model.scored(spark.createDataFrame([(p,) for p in lines], "paragraph string")).collect()}
+    for p in lines:
+        words = re.findall(licenses.WORDS, p.lower())
+        grams = {" ".join(words[i:i + n]) for n in (1, 2, 3) for i in range(len(words) - n + 1)} & set(place)
+        raw = (start + weights[:, [place[g] for g in grams]].sum(axis=1)) / model.temperature
+        prob = np.exp(raw - raw.max()) / np.exp(raw - raw.max()).sum()
+        families = prob[:-2]
+        assert got[p].named == model.classes[int(families.argmax())]
+        assert abs(got[p].best - families.max()) < 1e-9 and abs(got[p].other - prob[-2]) < 1e-9
+        assert got[p].none == (not got[p].grams or prob[-1] >= 0.5)
+
+
 # --- fingerprints
 
 def hashed(b):
