@@ -1,4 +1,4 @@
-"""What the derived tables write and how events are numbered (own rows)."""
+"""What the derived tables write, how events are numbered, and one store per order (own rows)."""
 
 import datetime
 
@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dispatchkit.operators.ordered import range_partitions, sequential_number
-from dispatchkit.plans import fixtures
+from dispatchkit.plans import catalog, fixtures
 
 
 @pytest.fixture(scope="module")
@@ -56,3 +56,13 @@ def test_partitions_count_the_rows_of_an_unpivot(spark, tmp_path):
     wide = df.select(F.inline(F.array(*[F.struct((F.col("id") + i).alias("id")) for i in range(10)])))
     one, ten = range_partitions(df, 1024), range_partitions(wide, 1024)
     assert one > int(spark.conf.get("spark.sql.shuffle.partitions")) and 10 * one - 10 <= ten <= 10 * one
+
+
+def test_store_candidates_name_a_store_for_every_order(spark, tables):
+    got = catalog.queries()["store_candidates"](spark, tables).collect()
+    active = {r.store_id: r.zone for r in fixtures.qc(spark, tables, "stores").filter("status = 'ACTIVE'").collect()}
+    assert len(got) == 300 and {r.pick_no for r in got} == {1}
+    for r in got:
+        here = [s for s, z in active.items() if z == r.delivery_zone]
+        assert r.cand_zone == (r.delivery_zone if here else "*") and r.store_id in (here or active)
+    assert len({r.store_id for r in got}) > 5
