@@ -66,3 +66,12 @@ def test_store_candidates_name_a_store_for_every_order(spark, tables):
         here = [s for s, z in active.items() if z == r.delivery_zone]
         assert r.cand_zone == (r.delivery_zone if here else "*") and r.store_id in (here or active)
     assert len({r.store_id for r in got}) > 5
+
+
+def test_clean_tables_are_computed_once(spark, tables):
+    from dispatchkit.plans import q_sources
+    clean = q_sources.clean_part(fixtures.registry(spark, tables))
+    for name in ("customers", "stores", "riders", "orders", "store_staffing"):
+        plan = clean[name]._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Aggregate" not in plan, name
+    assert clean["orders"].count() > 0
