@@ -75,3 +75,8 @@ def test_clean_tables_are_computed_once(spark, tables):
         plan = clean[name]._jdf.queryExecution().optimizedPlan().toString()
         assert "Join" not in plan and "Aggregate" not in plan, name
     assert clean["orders"].count() > 0
+
+
+def test_a_unit_is_unpivoted_once(spark, tables):
+    plan = fixtures.qc(spark, tables, "operational_events")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate inline") == 2          # one for orders, one for all stages of a unit
