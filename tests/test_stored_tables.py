@@ -80,3 +80,15 @@ def test_clean_tables_are_computed_once(spark, tables):
 def test_a_unit_is_unpivoted_once(spark, tables):
     plan = fixtures.qc(spark, tables, "operational_events")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Generate inline") == 2          # one for orders, one for all stages of a unit
+
+
+def test_last_row_of_one_number_is_a_hash_aggregate(spark):
+    from dispatchkit.operators.joins import last_rows
+    df = spark.createDataFrame([(1, 5), (1, 7), (1, None), (2, None), (None, 3)], "k long, v long")
+    one = last_rows(df, "k", ["v"], ["v"])
+    assert "SortAggregate" not in one._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, one.collect()), key=str) == [(1, 7), (2, None), (None, 3)]
+    named = spark.createDataFrame([(1, 5, "b"), (1, 7, "a"), (2, None, "c")], "k long, at long, v string")
+    two = last_rows(named, "k", ["at", "missing"], ["v"])
+    assert "max_by" not in two._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, two.collect())) == [(1, "a"), (2, "c")]
