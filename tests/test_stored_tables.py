@@ -92,3 +92,12 @@ def test_last_row_of_one_number_is_a_hash_aggregate(spark):
     two = last_rows(named, "k", ["at", "missing"], ["v"])
     assert "max_by" not in two._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(tuple, two.collect())) == [(1, "a"), (2, "c")]
+
+
+def test_orphans_are_found_among_distinct_ids(spark):
+    from dispatchkit.operators.joins import fk_orphans_multi
+    child = spark.createDataFrame([(1, 10, 20), (2, 10, 99), (2, 10, 99), (3, None, 20), (4, 98, None)], "id long, a long, b long")
+    keys = {"a": spark.createDataFrame([(10,), (10,)], "a long"), "b": spark.createDataFrame([(20,), (None,)], "b long")}
+    out = fk_orphans_multi(child, "id", keys)
+    assert "Aggregate" in out._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, out.collect())) == [("a", 98, 4), ("b", 99, 2), ("b", 99, 2)]
