@@ -101,3 +101,14 @@ def test_orphans_are_found_among_distinct_ids(spark):
     out = fk_orphans_multi(child, "id", keys)
     assert "Aggregate" in out._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(map(tuple, out.collect())) == [("a", 98, 4), ("b", 99, 2), ("b", 99, 2)]
+
+
+def test_events_are_shuffled_as_keys_and_unpivoted_in_their_time_slice(spark, tables):
+    log = fixtures.qc(spark, tables, "operational_events")
+    for n in (1, 6):
+        sliced = fixtures.events_in_time_slices(spark, tables, n)
+        plan = sliced._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Generate inline") == 1 and plan.index("Generate inline") < plan.index("Repartition")
+        assert sliced.schema.simpleString() == log.schema.simpleString() and counted(sliced) == counted(log)
+        at = sliced.groupBy(F.spark_partition_id().alias("p")).agg(F.min("occurred_at").alias("a"), F.max("occurred_at").alias("b")).orderBy("p").collect()
+        assert len(at) == n and all(x.b < y.a for x, y in zip(at, at[1:]))
