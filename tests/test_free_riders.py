@@ -109,3 +109,13 @@ def test_offers_to_riders_of_other_zones(spark):
                                    "assignment_id int, delivery_id int, rider_id int, offered_at timestamp_ntz")
     zones = spark.createDataFrame([(70, "A"), (71, None)], "delivery_id int, zone string")
     assert [(x.assignment_id, x.n_zone) for x in offers_outside_zone(offers, r, d, zones).collect()] == [(1, 1)]
+
+
+def test_sides_of_the_sweep_are_computed_once(spark):
+    """The answer reads kept rows: no delivery is joined or ordered again by it."""
+    t = tables(spark, *cases(4))
+    calls = spark.sparkContext.accumulator(0)
+    seen = F.udf(lambda x: (calls.add(1), x)[1], "int").asNondeterministic()
+    deliveries, requests = t[1].withColumn("rider_id", seen("rider_id")), t[2].withColumn("request", seen("request"))
+    answers(free_riders(requests, t[0], deliveries))
+    assert calls.value == t[1].count() + t[2].count()
