@@ -112,3 +112,19 @@ def test_events_are_shuffled_as_keys_and_unpivoted_in_their_time_slice(spark, ta
         assert sliced.schema.simpleString() == log.schema.simpleString() and counted(sliced) == counted(log)
         at = sliced.groupBy(F.spark_partition_id().alias("p")).agg(F.min("occurred_at").alias("a"), F.max("occurred_at").alias("b")).orderBy("p").collect()
         assert len(at) == n and all(x.b < y.a for x, y in zip(at, at[1:]))
+
+
+def test_key_joins_take_as_many_partitions_as_their_tables_ask_for(spark, tables, tmp_path, monkeypatch):
+    from dispatchkit.operators import joins
+    spark.range(20000).select("id", (F.col("id") * 2).alias("up")).write.parquet(f"{tmp_path}/ids")
+    ids = spark.read.parquet(f"{tmp_path}/ids")
+    monkeypatch.setattr(joins, "KEY_PARTITION_BYTES", 4096)
+    gap = joins.coverage_gap(ids.select("id"), ids.select("up"), "id", "up")
+    assert gap.count() == 10000
+    n = range_partitions(ids.select("id").unionByName(ids.select(F.col("up").alias("id"))), 4096)
+    assert n > 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert gap._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression [") == 2
+    assert f", {n}" in gap._jdf.queryExecution().optimizedPlan().toString()
+    # the unit keys are grouped and joined by one shuffle of the lines
+    plan = fixtures.unit_keys(spark, tables)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression [l_orderkey") == 1
