@@ -59,3 +59,14 @@ def test_probes_are_shuffled_with_numbers(spark, deliveries):
     assert "assignment_id" in plan and plan.index("as string) AS entity_id") < plan.index("Join")
     assert plan.count("as string)") == 1
     assert sorted((r.rule_id, r.entity_id) for r in out.collect()) == [("FK-08", "2"), ("FK-08", "3")]
+
+
+def test_text_timestamps_are_parsed_once(spark):
+    rows = [(1, "2024-01-01 10:00:00", "5-8-2026 3:4"), (2, "soon", ""), (3, None, " "), (4, "2024-13-01 10:00:00", None)]
+    df = spark.createDataFrame([(i, 1, "CREATED", a, b) for i, a, b in rows],
+                               "order_id long, customer_id long, status string, created_at string, payment_success_at string")
+    checked = suite.row_violations(df, "orders")
+    plan = checked._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") == suite.prepare(df, "orders")._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace")
+    assert {(r.order_id, v.rule_id) for r in checked.collect() for v in r._violations if v.rule_id.startswith("TS")} == {
+        (2, "TS-01"), (4, "TS-01"), (3, "TS-02")}
